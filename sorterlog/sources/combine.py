@@ -32,7 +32,7 @@ def combine_logs(spark: SparkSession, directory: str, suffix: str = "*.log") ->
 
 def file_headers(spark: SparkSession, path: str) -> DataFrame:
     """First non-blank line per file. One row per file, as many as the listing holds."""
-    lines = read_lines(spark, path).where((F.trim("value") != "") & (F.col(f"{ORDER}.block") == 0))
+    lines = read_lines(spark, path, skip_unreadable=True).where((F.trim("value") != "") & (F.col(f"{ORDER}.block") == 0))
     # File paths in metadata are percent-encoded.
     name = F.url_decode(F.replace(F.col(f"{ORDER}.file"), F.lit("+"), F.lit("%2B")))
     return lines.groupBy(name.alias("file")).agg(
@@ -44,7 +44,7 @@ def _read_group(spark: SparkSession, header: str, files: list[str]) -> DataFrame
     names = [n.strip().strip('"') for n in header.split(";")]
     # Escape glob characters: file names are literal here.
     literal = [_escape_glob(f) for f in files]
-    lines = read_lines(spark, literal).where((F.trim("value") != "") & (F.col("value") != header))
+    lines = read_lines(spark, literal, skip_unreadable=True).where((F.trim("value") != "") & (F.col("value") != header))
     parsed = lines.where(_field_count(F.col("value")) <= len(names)).select(
         F.from_csv("value", _ddl(names), {"sep": ";", "escape": '"'}).alias("r"),
         "source_file", ORDER,

@@ -13,14 +13,15 @@ from sorterlog.functions.fields import blank_to_null, strip
 ORDER = "_ord"
 
 
-def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+def read_lines(spark: SparkSession, paths: str | Sequence[str], skip_unreadable: bool = False) -> DataFrame:
     """Lines with their position: `value`, `source_file` and the sort key `_ord`.
 
     Text splits are read in parallel and carry no line number. The running id
     grows inside a split, the block start orders the splits of a file, so the
     triple restores file order without any shuffle.
     """
-    return spark.read.text(paths if isinstance(paths, str) else list(paths)).select(
+    reader = spark.read.option("ignoreCorruptFiles", str(skip_unreadable).lower())
+    return reader.text(paths if isinstance(paths, str) else list(paths)).select(
         "value",
         F.col("_metadata.file_name").alias("source_file"),
         F.struct(
