@@ -25,9 +25,9 @@ from sorterlog.operators.packages import PACKAGE, assign_packages, assign_sessio
 from sorterlog.operators.timewindow import resolve_window, stamp_validity, time_bounds
 from sorterlog.plans import alarm_reports, messages
 from sorterlog.plans.induction import induction_rate, single_line_rate
-from sorterlog.plans.measurements import item_measurements
+from sorterlog.plans.measurements import MEASURES, measurement_rows
 from sorterlog.plans.sort_report import s04_analysis
-from sorterlog.sources.logs import ORDER, split_fields
+from sorterlog.sources.logs import ORDER, read_flat_export, read_log_monitor, split_fields
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -142,8 +142,7 @@ def run_summary(spark, sf):
     cats=f"SELECT {r.category_sql('code')} AS cat FROM packed WHERE rn = 1", units="SELECT * FROM types"))
 def sort_report_from_lines(spark, sf):
     """The whole path: raw lines, fields, payload, lists, window, packages, defects."""
-    logs = split_fields(r.scan_lines(spark, sf))
-    return s04_analysis(logs, r.destination_mapping(spark, sf), full=True)["defect_metrics"]
+    return s04_analysis(r.scan_logs(spark, sf), r.destination_mapping(spark, sf), full=True)["defect_metrics"]
 
 
 # ---- parsing --------------------------------------------------------------
@@ -163,7 +162,7 @@ def message_roundtrip(spark, sf):
         "requestedDestStatus": F.lit("[Used,FromAwcs]"), "junk": F.lit("x,nothing"), "itemID ": F.col("l_orderkey"),
     })
     lines = li.select(raw.alias("rawMessage"), r.order_of(F.col("l_orderkey")))
-    rows = messages.explode_destinations(messages.with_payload(lines, fv.SORT_REPORT_KEYS))
+    rows = messages.explode_destinations(messages.with_payload(lines, fv.SORT_REPORT_KEYS, scrubbed=False))
     return rows.select(
         "itemID", "requestedDestMCID", "sortCode", F.col("requestedDestStatus").alias("status"),
         F.col(f"{ORDER}.place").alias("place"),
@@ -205,13 +204,13 @@ def payload_keys(spark, sf):
 
 
 @query("first_elements", """
-SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber % 2 = 0 THEN l_suppkey END AS literal_id,
-       CASE WHEN l_linenumber % 2 = 0 THEN CAST(l_suppkey AS VARCHAR) ELSE lpad(CAST(l_suppkey AS VARCHAR), 6, '0') END AS first_text,
+SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber % 2 = 0 THEN l_suppkey + 1 END AS literal_id,
+       CASE WHEN l_linenumber % 2 = 0 THEN CAST(l_suppkey + 1 AS VARCHAR) ELSE lpad(CAST(l_suppkey + 1 AS VARCHAR), 6, '0') END AS first_text,
        CAST(l_quantity AS BIGINT) AS code FROM lineitem""")
 def first_elements(spark, sf):
     li = r.table(spark, sf, "lineitem")
-    ids = F.when(F.col("l_linenumber") % 2 == 0, r.bracketed(F.col("l_suppkey"), F.lit(1))).otherwise(
-        r.bracketed(F.format_string("%06d", F.col("l_suppkey")), F.lit(1)))
+    ids = F.when(F.col("l_linenumber") % 2 == 0, r.bracketed((F.col("l_suppkey") + 1), F.lit(1))).otherwise(
+        r.bracketed(F.format_string("%06d", (F.col("l_suppkey") + 1)), F.lit(1)))
     return li.select(
         "l_orderkey", "l_linenumber", payload.first_int(ids).alias("literal_id"), payload.first_literal(ids).alias("first_text"),
         fields.to_int(payload.first_text(r.bracketed(F.col("l_quantity").cast("bigint"), F.lit(7)))).alias("code"),
@@ -219,16 +218,16 @@ def first_elements(spark, sf):
 
 
 @query("nested_pairs", """
-SELECT event_id, '[' || user_id || ',[' || event_type || ',x]]' AS nested, CAST(value AS DECIMAL(18,2)) AS last_value FROM events""")
+SELECT event_id, '[' || user_id || ',[' || event_type || ',x]]' AS nested, CAST(CAST(value AS DECIMAL(18,2)) AS DOUBLE) AS last_value FROM events""")
 def nested_pairs(spark, sf):
     e = r.table(spark, sf, "events")
     text = F.concat(F.lit("k:["), F.col("user_id"), F.lit(",["), F.col("event_type"), F.lit(",x]],v:old,,v:"),
                     F.col("value").cast("decimal(18,2)").cast("string"), F.lit(","))
-    pairs = e.select("event_id", payload.split_pairs(text).alias("p")).select(
-        "event_id", payload.pair_keys("p").alias("k"), payload.pair_values("p").alias("v"))
+    pairs = e.select("event_id", payload.key_value_pieces(payload.split_pairs(text)).alias("p")).select(
+        "event_id", payload.keys_of("p").alias("k"), payload.values_of("p").alias("v"))
     return pairs.select(
         "event_id", payload.value_of("k", "v", "k").alias("nested"),
-        payload.value_of("k", "v", "v").try_cast("decimal(18,2)").alias("last_value"),
+        payload.value_of("k", "v", "v").try_cast("double").alias("last_value"),
     )
 
 
@@ -542,7 +541,7 @@ def induction_lines(spark, sf):
     )
     raw = r.framed({"event": F.lit("IND"), "itemID": F.col("user_id"), "inductionNo": number, "carrierNo": F.col("event_id")})
     line = r.log_record(r.stamp_of("ts"), F.lit(fv.ITEM_INDUCTED_CODE), F.col("event_id"), raw)
-    return split_fields(e.select(line.alias("value"), r.order_of(F.col("event_id"))))
+    return read_log_monitor(spark, r.log_files(e.select(line.alias("value")), "induction-lines"))
 
 
 def induction_table(spark, sf):
@@ -579,8 +578,7 @@ def line_rate(spark, sf):
     line = F.concat_ws(";", *[F.concat(F.lit('"'), c, F.lit(' "')) for c in (
         r.stamp_of("ts"), F.lit("I"), F.lit("S"), F.lit("h"), F.lit("m"), F.lit(""), F.lit(""), F.lit("1"), F.lit("2"), F.lit("3"),
         F.lit("4"), F.lit("5"), F.col("event_type"))])
-    names = fv.FLAT_EXPORT_COLUMNS[:13]
-    export = co.unquote_all(split_fields(e.select(line.alias("value")), names), names)
+    export = read_flat_export(spark, r.log_files(e.select(line.alias("value")), "flat-export"), width=13)
     rate = single_line_rate(export, datetime(2024, 1, 10, 8), minutes=600)["rate"]
     return rate.select(
         "valid_rows", "n_items", F.round("pph_overall", 4).alias("pph_overall"), F.round("pph_window", 4).alias("pph_window"),
@@ -735,7 +733,10 @@ SELECT count(*) FILTER (a < 450 AND b < 450) AS length_width_in, count(*) FILTER
 FROM (SELECT CAST(l_quantity AS BIGINT) * 15 AS a, l_partkey % 900 AS b, l_suppkey * 9 AS c FROM lineitem)""")
 def item_thresholds(spark, sf):
     """Measurement messages from raw lines, with pairs that need repair."""
-    return item_measurements(measurement_lines(spark, sf))["threshold_counts"]
+    return ct.threshold_counts(measurement_rows(measurement_lines(spark, sf)), {
+        "length_width": ["length", "width"], "length_position": ["length", "positionFront"],
+        "width_position": ["width", "positionFront"], "all": MEASURES,
+    })
 
 
 def measurement_lines(spark, sf):
@@ -745,7 +746,7 @@ def measurement_lines(spark, sf):
         (F.col("l_partkey") % 900).cast("string"), F.lit(",positionFront, "), (F.col("l_suppkey") * 9).cast("string"),
         F.lit(",inductionNo:"), (F.lit(4) + F.col("l_linenumber") % 3).cast("string"), F.lit(",noOfCarriers:1}<"))
     line = r.log_record(r.stamp_of("l_shipdate"), F.lit("50102"), F.col("l_orderkey"), raw)
-    return split_fields(li.select(line.alias("value"), r.order_of(F.col("l_orderkey"))))
+    return read_log_monitor(spark, r.log_files(li.select(line.alias("value")), "measurement-lines"))
 
 
 @query("constant_columns", "SELECT l_orderkey, l_linenumber, l_returnflag, NULL::VARCHAR AS nothing FROM lineitem")

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sorterlog import fixed_values as fv
-from sorterlog.sources.logs import ORDER
+from sorterlog.sources.logs import ORDER, read_log_monitor
+from sorterlog.sources.staging import staging_folder
 from sorterlog.sources.tables import POSITION
 
 
@@ -139,8 +142,8 @@ def bracketed(*items: Column) -> Column:
     return F.concat(F.lit("["), F.concat_ws(",", *[i.cast("string") for i in items]), F.lit("]"))
 
 
-def scan_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sort report log lines, one per event; `_ord` follows the event id."""
+def scan_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sort report log files, one line per event, read back as log records."""
     s = scan_events(spark, sf_dir)
     raw = framed({
         "event": F.lit("SORT"), "plcRecordNo": F.col(ORDER), "itemID": F.col("itemID"), "indexNo": F.col("indexNo"),
@@ -149,7 +152,14 @@ def scan_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "sortCode": bracketed(F.col("sortCode")), "requestedDestStatus": F.lit("[Used]"), "comHost": F.lit("h"),
     })
     line = log_record(stamp_of("timeStamp"), F.lit(fv.SORT_REPORT_CODE), F.col(ORDER), raw)
-    return s.select(line.alias("value"), order_of(F.col(ORDER)))
+    return read_log_monitor(spark, log_files(s.select(line.alias("value")), "sort-lines"))
+
+
+def log_files(lines: DataFrame, name: str) -> str:
+    """Write rendered lines (`value`) as text files, as a controller would, and return the folder."""
+    path = f"{staging_folder(lines.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    lines.select("value").write.text(path)
+    return path
 
 
 def order_of(n: Column) -> Column:

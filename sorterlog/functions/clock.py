@@ -24,19 +24,15 @@ def seconds_between(start: Column | str, end: Column | str) -> Column:
     return F.timestamp_diff("MICROSECOND", as_column(start), as_column(end)) / F.lit(float(MICROS))
 
 
-def _part(digits: Column, start: int, length: int) -> Column:
-    return F.substr(digits, F.lit(start), F.lit(length))
+_STAMP_PARTS = r"(\d\d)(\d\d)(\d\d)(\d\d)(\d\d)(\d\d)(\d{1,6})\z"
+_ISO = r"$1-$2-$3 $4:$5:$6.$7"
 
 
 def parse_stamp(c: Column | str) -> Column:
-    """'yymmddHHMMSS' plus 1 to 6 fraction digits; anything else is null."""
-    c = as_column(c)
-    century = F.when(_part(c, 1, 2) >= "69", F.lit("19")).otherwise(F.lit("20"))
-    iso = F.concat(
-        century, _part(c, 1, 2), F.lit("-"), _part(c, 3, 2), F.lit("-"), _part(c, 5, 2), F.lit(" "),
-        _part(c, 7, 2), F.lit(":"), _part(c, 9, 2), F.lit(":"), _part(c, 11, 2), F.lit("."), _part(c, 13, 6),
-    )
-    return F.when(c.rlike(r"\A[0-9]{13,18}\z"), iso).try_cast("timestamp_ntz")
+    """'yymmddHHMMSS' plus 1 to 6 fraction digits; anything else is null. Years from 69 on are 19xx."""
+    digits = F.regexp_extract(as_column(c), r"\A[0-9]{13,18}\z", 0)
+    old = F.regexp_replace(digits, r"\A(?=69|[7-9])" + _STAMP_PARTS, "19" + _ISO)
+    return F.regexp_replace(old, r"\A" + _STAMP_PARTS, "20" + _ISO).try_cast("timestamp_ntz")
 
 
 def parse_stamp_without_blanks(c: Column | str) -> Column:
@@ -62,14 +58,9 @@ def parse_stamp_lenient(c: Column | str) -> Column:
     def part(i: int, width: int) -> Column:
         return F.rpad(F.coalesce(F.get(parts, F.lit(i)), F.lit("0")), width, "0")
 
-    digits = F.concat(part(0, 6), part(1, 6), part(2, 3))
+    digits = F.regexp_extract(F.concat(part(0, 6), part(1, 6), part(2, 3)), r"\A[0-9]{15}\z", 0)
     # The century is always 20xx here, also for years from 69 on.
-    iso = F.concat(
-        F.lit("20"), _part(digits, 1, 2), F.lit("-"), _part(digits, 3, 2), F.lit("-"), _part(digits, 5, 2),
-        F.lit(" "), _part(digits, 7, 2), F.lit(":"), _part(digits, 9, 2), F.lit(":"), _part(digits, 11, 2),
-        F.lit("."), _part(digits, 13, 3),
-    )
-    return F.when(digits.rlike(r"\A[0-9]{15}\z"), iso).try_cast("timestamp_ntz")
+    return F.regexp_replace(digits, r"\A" + _STAMP_PARTS, "20" + _ISO).try_cast("timestamp_ntz")
 
 
 def time_label(start: Column | str, end: Column | str) -> Column:

@@ -7,7 +7,11 @@ from pyspark.sql import functions as F
 
 from sorterlog import fixed_values as fv
 
-WHITESPACE = " \t\n\r\x0b\x0c"
+# All characters that count as whitespace in text, beyond ASCII too.
+WHITESPACE = (
+    " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def as_column(c: Column | str) -> Column:
@@ -16,12 +20,12 @@ def as_column(c: Column | str) -> Column:
 
 def scrub(c: Column | str) -> Column:
     """Remove every double quote and every whitespace character."""
-    return F.regexp_replace(as_column(c), r'["\s]+', "")
+    return F.regexp_replace(as_column(c), r'(?U)["\s\x1c-\x1f]+', "")
 
 
 def drop_quotes(c: Column | str) -> Column:
     """Remove double quotes only; whitespace stays."""
-    return F.translate(as_column(c), '"', "")
+    return F.replace(as_column(c), F.lit('"'), F.lit(""))
 
 
 def strip(c: Column | str) -> Column:

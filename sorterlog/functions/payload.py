@@ -19,19 +19,24 @@ def strip_frame(raw: Column | str) -> Column:
     return F.regexp_replace(F.regexp_replace(as_column(raw), r"^->\{", ""), r"\}<$", "")
 
 
-def split_pairs(text: Column | str) -> Column:
+# Brackets that are nested, unclosed or closed without being open.
+_UNEVEN = r"\[[^\[\]]*+(?:\[|\z)|\A[^\[\]]*+\]|\][^\[\]]*+\]"
+
+
+def split_pairs(text: Column | str, trim: bool = True) -> Column:
     """Split at commas outside square brackets.
 
     Payloads whose brackets are flat and balanced, which is nearly all of
     them, split with one regular expression inside generated code. Others go
     through a fold over the comma pieces that tracks the bracket depth.
+    Without `trim`, pieces keep surrounding blanks; scrubbed text has none.
     """
     text = as_column(text)
-    brackets = F.regexp_replace(text, r"[^\[\]]+", "")
-    flat = F.replace(brackets, F.lit("[]"), F.lit("")) == ""
-    pieces = F.when(flat, F.split(text, r",(?![^\[\]]*\])")).otherwise(_depth_split(text))
-    pieces = F.transform(F.when(F.element_at(pieces, -1) == "", F.slice(pieces, 1, F.size(pieces) - 1)).otherwise(pieces), strip)
-    return F.when(text.isNotNull(), pieces)
+    # One comma at the very end closes the last piece and opens none.
+    flat = F.split(F.regexp_replace(text, r",\z", ""), r",(?![^\[\]]*+\])")
+    pieces = F.when(text.rlike(_UNEVEN), _depth_split(text)).otherwise(flat)
+    pieces = F.transform(pieces, strip) if trim else pieces
+    return F.when(text == "", F.array().cast("array<string>")).otherwise(pieces)
 
 
 def _depth_split(text: Column) -> Column:
@@ -56,29 +61,35 @@ def _depth_split(text: Column) -> Column:
             (acc["depth"] + opened(piece) - closed(piece)).alias("depth"),
         )
 
-    return F.aggregate(
-        F.split(text, ",", -1), start, step, lambda acc: F.array_append(acc["done"], acc["open"])
-    )
+    def finish(acc: Column) -> Column:
+        return F.when(acc["open"] == "", acc["done"]).otherwise(F.array_append(acc["done"], acc["open"]))
+
+    return F.aggregate(F.split(text, ",", -1), start, step, finish)
+
+
+def key_value_pieces(pieces: Column | str) -> Column:
+    """Pieces with a colon, last piece first."""
+    return F.filter(F.reverse(as_column(pieces)), lambda p: F.instr(p, ":") > 0)
 
 
-def pair_keys(pairs: Column | str) -> Column:
-    """Keys of 'key:value' pieces, last piece first; pieces without a colon are dropped."""
-    return F.transform(_with_colon(pairs), lambda p: strip(F.substring_index(p, ":", 1)))
+def keys_of(pieces: Column | str, trim: bool = True) -> Column:
+    """Text before the first colon of each piece."""
+    return F.transform(as_column(pieces), lambda p: _trimmed(F.substring_index(p, ":", 1), trim))
 
 
-def pair_values(pairs: Column | str) -> Column:
-    """Values of 'key:value' pieces in the order of `pair_keys`."""
-    return F.transform(_with_colon(pairs), lambda p: strip(F.substr(p, F.instr(p, ":") + 1)))
+def values_of(pieces: Column | str, trim: bool = True) -> Column:
+    """Text after the first colon of each piece."""
+    return F.transform(as_column(pieces), lambda p: _trimmed(F.substr(p, F.instr(p, ":") + 1), trim))
 
 
-def _with_colon(pairs: Column | str) -> Column:
-    return F.filter(F.reverse(as_column(pairs)), lambda p: F.instr(p, ":") > 0)
+def _trimmed(text: Column, trim: bool) -> Column:
+    return strip(text) if trim else text
 
 
 def value_of(keys: Column | str, values: Column | str, key: str) -> Column:
     """Value of one key; the last pair of a repeated key wins, a missing key is null."""
-    position = F.array_position(as_column(keys), F.lit(key)).cast("int")
-    return F.when(position > 0, F.get(as_column(values), position - 1))
+    # A missing key has position 0, and place -1 reads as null.
+    return F.get(as_column(values), F.array_position(as_column(keys), F.lit(key)).cast("int") - 1)
 
 
 def is_list(value: Column | str) -> Column:
@@ -138,7 +149,7 @@ def first_literal(value: Column | str) -> Column:
     return (
         F.when(~is_list(value), value)
         .when(value.rlike(r"^\[\s*\]$"), value)
-        .otherwise(F.coalesce(readable, first_text(value)))
+        .otherwise(F.coalesce(first_int(value).cast("string"), readable, first_text(value)))
     )
 
 

@@ -17,10 +17,11 @@ def build_mapping(dim: DataFrame, key: str = fv.MAPPING_ID, names: tuple[str, ..
     """One row per integer id; of repeated ids the last row wins.
 
     The last row is found by a maximum over (position, names), which combines
-    before the shuffle, so many copies of one id cost nothing.
+    before the shuffle, so many copies of one id cost nothing. The size check
+    for broadcasting is made here, once for all joins with the result.
     """
     last = F.max(F.struct(F.col(position), *[F.col(n) for n in names])).alias("_last")
-    return (
+    return broadcast_if_small(
         dim.withColumn("_id", to_int(key)).where(F.col("_id").isNotNull())
         .groupBy("_id").agg(last)
         .select(F.col("_id").alias(key), *[F.col(f"_last.{n}").alias(n) for n in names])
@@ -40,14 +41,14 @@ def add_destinations(
     recirculation: bool = False,
     key: str = fv.MAPPING_ID,
 ) -> DataFrame:
-    """Attach destination names by id; unknown ids give nulls.
+    """Attach destination names by id from `build_mapping`; unknown ids give nulls.
 
     With `recirculation`, ids of the recirculation range are named so, whether
     the mapping knows them or not; their jackpot name stays as mapped.
     """
     names = fv.MAPPING_NAMES if names is None else names
     dim = mapping.select(F.col(key).alias("_dim_id"), *[F.col(n).alias(f"_{n}") for n in names])
-    joined = df.join(broadcast_if_small(dim), F.col(mcid) == F.col("_dim_id"), "left")
+    joined = df.join(dim, F.col(mcid) == F.col("_dim_id"), "left")
 
     def named(n: str) -> Column:
         if recirculation and n != "Jackpot":

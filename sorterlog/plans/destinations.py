@@ -18,6 +18,7 @@ from sorterlog.operators.ordered import first_rows
 from sorterlog.operators.timewindow import resolve_window
 from sorterlog.plans.messages import first_elements, records_of, with_payload
 from sorterlog.sources.logs import ORDER
+from sorterlog.sources.staging import stage
 
 
 def s02_destinations(
@@ -30,7 +31,7 @@ def s02_destinations(
 ) -> dict[str, Any]:
     """Requested destinations on the first record per barcode, and repeated barcodes."""
     records = records_of(logs, fv.DESTINATION_REQUEST_CODE)
-    rows = first_elements(with_payload(records, fv.SORT_REPORT_KEYS))
+    rows = stage(first_elements(with_payload(records, fv.SORT_REPORT_KEYS)), "destination-requests")
     if prune:
         rows = drop_constant_columns(rows, protect=["indexNo", "timeStamp"])
     window = resolve_window(rows, start, end, minutes, full)
@@ -59,10 +60,11 @@ def bypass_spacing(
     wanted = fv.BYPASS_DESTINATIONS if destinations is None else destinations
     name = fv.MAPPING_NAMES["Amazon"]
     records = records_of(logs, None, scrub=False)
-    rows = first_elements(with_payload(records, fv.SORT_REPORT_KEYS), literal=True)
+    rows = first_elements(with_payload(records, fv.SORT_REPORT_KEYS, scrubbed=False), literal=True)
     named = add_destinations(rows, build_mapping(mapping), recirculation=True)
-    bypass = named.where(F.col(name).isin(wanted)).withColumn("timeStamp", parse_stamp_lenient("timeStamp"))
-    counts = sp.interarrival_counts(bypass, name)
+    kept = named.where(F.col(name).isin(wanted)).withColumn("timeStamp", parse_stamp_lenient("timeStamp"))
+    bypass = stage(kept, "bypass")
+    counts = stage(sp.interarrival_counts(bypass, name), "bypass-spacings")
     return {
         "raw_data": sp.interarrival(bypass, name),
         "distributions": sp.collect_spacings(counts, name),

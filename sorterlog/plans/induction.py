@@ -15,6 +15,7 @@ from sorterlog.operators.columns import drop_constant_columns
 from sorterlog.operators.rates import induction_rates, line_rate, with_total
 from sorterlog.operators.timewindow import resolve_window, stamp_validity
 from sorterlog.plans.messages import records_of, with_payload
+from sorterlog.sources.staging import stage
 
 
 def induction_rate(
@@ -26,9 +27,8 @@ def induction_rate(
     prune: bool = False,
 ) -> dict[str, Any]:
     """Rate per induction against the target of the inductions present, with a total row."""
-    messages = with_payload(records_of(logs, fv.ITEM_INDUCTED_CODE), fv.INDUCTION_KEYS).withColumn(
-        "inductionNo", induction_name("inductionNo")
-    )
+    parsed = with_payload(records_of(logs, fv.ITEM_INDUCTED_CODE), fv.INDUCTION_KEYS)
+    messages = stage(parsed.withColumn("inductionNo", induction_name("inductionNo")), "inductions")
     if prune:
         messages = drop_constant_columns(messages, protect=["inductionNo", "timeStamp"])
     window = resolve_window(messages, start, end, minutes, full)
@@ -51,7 +51,7 @@ def single_line_rate(
     line: str = fv.LINE_NAME,
 ) -> dict[str, DataFrame]:
     """Rate of one line in a window that starts at `start`; the window is not clamped to the data."""
-    stamped = export.withColumn("timestamp", parse_stamp_without_blanks("stamp_raw"))
+    stamped = stage(export.withColumn("timestamp", parse_stamp_without_blanks("stamp_raw")), "line-export")
     end = start + timedelta(minutes=minutes)
     inside = stamped.where(F.col("timestamp").between(*[
         F.lit(t.isoformat(sep=" ")).cast("timestamp_ntz") for t in (start, end)

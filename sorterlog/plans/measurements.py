@@ -21,6 +21,7 @@ from sorterlog.operators.counts import (
 from sorterlog.operators.quantiles import quantiles
 from sorterlog.plans.messages import records_of, with_payload
 from sorterlog.sources.logs import ORDER
+from sorterlog.sources.staging import stage
 
 MEASURES = ["length", "width", "positionFront"]
 
@@ -41,13 +42,13 @@ def item_measurements(
     slices: int = 512,
 ) -> dict[str, Any]:
     """Profiles, threshold counts and gap distributions of measured items."""
-    rows = measurement_rows(logs)
+    rows = stage(measurement_rows(logs), "measurements")
     clean = drop_constant_columns(rows, all_null=True, protect=[*fv.MEASUREMENT_KEYS, "timeStamp"]) if prune else rows
     complete = clean.dropna(subset=MEASURES)
     if sample_rows is not None:
         complete = seeded_sample(complete, [ORDER], sample_rows)
     lines = clean.where(F.col("inductionNo").isin(fv.AUTO_INDUCTIONS if inductions is None else inductions))
-    gaps = sp.position_gaps(lines.dropna(subset=["positionFront"]), "inductionNo", "positionFront", slices)
+    gaps = stage(sp.position_gaps(lines, "inductionNo", "positionFront", slices), "gaps")
     scaled = sp.auto_scale(gaps, "gap", slices)
     texts = [c for c in text_columns(clean) if c != "rawMessage"]
     return {

@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 from sorterlog import fixed_values as fv
 from sorterlog.functions import payload as pl
 from sorterlog.functions.clock import parse_stamp
+from sorterlog.functions.fields import scrub as scrub_text
 from sorterlog.functions.fields import to_int
 from sorterlog.operators.columns import drop_quotes_all, scrub_all
 from sorterlog.sources.logs import ORDER
+from sorterlog.sources.staging import stage
 
+DROPPED = "_dropped"
 LISTS = ["requestedDestMCID", "sortCode", "requestedDestStatus"]
 
 
@@ -26,45 +29,52 @@ def records_of(logs: DataFrame, codes: str | Sequence[str] | None, scrub: bool =
     rows = logs
     if codes is not None:
         wanted = [codes] if isinstance(codes, str) else list(codes)
-        rows = rows.where(F.regexp_replace("messageCode", r'["\s]+', "").isin(wanted))
+        rows = rows.where(scrub_text("messageCode").isin(wanted))
     rows = scrub_all(rows, fv.LOG_COLUMNS) if scrub else drop_quotes_all(rows)
     return rows.withColumn("timeStamp", parse_stamp("timeStamp")) if scrub else rows
 
 
 def filter_counts(logs: DataFrame, code: str) -> DataFrame:
     """Records kept and dropped by a message code, one row."""
-    kept = F.count_if(F.regexp_replace("messageCode", r'["\s]+', "") == code)
+    kept = F.count_if(scrub_text("messageCode") == code)
     return logs.agg(kept.alias("kept"), (F.count(F.lit(1)) - kept).alias("dropped"))
 
 
-def with_payload(records: DataFrame, keys: Sequence[str], raw: str = "rawMessage", repair: bool = False) -> DataFrame:
+def with_payload(records: DataFrame, keys: Sequence[str], raw: str = "rawMessage", repair: bool = False,
+                 scrubbed: bool = True) -> DataFrame:
     """Replace the raw message by one string column per key.
 
     Keys and values are cut once per row; each key is then a position lookup.
-    Keys that no later step uses are pruned by the optimizer.
+    Keys that no later step uses are pruned by the optimizer. Text that is
+    not `scrubbed` may hold blanks, which are trimmed around keys and values.
     """
     text = pl.strip_frame(raw)
     if repair:
         text = pl.repair_pairs(text)
     others = [c for c in records.columns if c != raw]
-    pieces = records.select(*others, pl.split_pairs(text).alias("_pairs"))
-    pairs = pieces.select(*others, pl.pair_keys("_pairs").alias("_keys"), pl.pair_values("_pairs").alias("_values"))
-    return pairs.select(*others, *[pl.value_of("_keys", "_values", k).alias(k) for k in keys])
+    return (
+        records.select(*others, text.alias("_text"))
+        .select(*others, pl.split_pairs("_text", trim=not scrubbed).alias("_pieces"))
+        .select(*others, pl.key_value_pieces("_pieces").alias("_pairs"))
+        .select(*others, pl.keys_of("_pairs", not scrubbed).alias("_keys"), pl.values_of("_pairs", not scrubbed).alias("_values"))
+        .select(*others, *[pl.value_of("_keys", "_values", k).alias(k) for k in keys])
+    )
 
 
 def payload_keys(records: DataFrame, raw: str = "rawMessage") -> DataFrame:
     """All keys that occur in the payloads; use it to learn the keys of an unknown message."""
-    pairs = pl.split_pairs(pl.strip_frame(raw))
-    return records.select(F.explode(pl.pair_keys(pairs)).alias("key")).distinct().orderBy("key")
+    pairs = pl.key_value_pieces(pl.split_pairs(pl.strip_frame(raw)))
+    return records.select(F.explode(pl.keys_of(pairs)).alias("key")).distinct().orderBy("key")
 
 
-def explode_destinations(messages: DataFrame, keep_unread: bool = False) -> DataFrame:
+def explode_destinations(messages: DataFrame, mark: str | None = None) -> DataFrame:
     """One row per attempted destination.
 
     The three list fields are aligned to the longest (filler -1, 'Unused' for
     the status) and exploded in step. Rows in which any of them is the number
     -1 are dropped. Ids and codes are typed; what is no integer list is null
     there and stays readable in `<name>_raw`. `_ord` gains the list position.
+    With `mark`, no row is dropped; those to drop are true in that column.
     """
     others = [c for c in messages.columns if c not in LISTS]
     minus = F.lit(-1).cast("bigint")
@@ -91,9 +101,10 @@ def explode_destinations(messages: DataFrame, keep_unread: bool = False) -> Data
     dropped = F.coalesce(F.col("_row.requestedDestMCID") == -1, F.lit(False)) \
         | F.coalesce(F.col("_row.sortCode") == -1, F.lit(False)) | F.coalesce(numeric_status, F.lit(False))
     order = [F.struct(F.col(f"{ORDER}.*"), F.col("_place").alias("place")).alias(ORDER)] if ORDER in others else []
-    kept = exploded if keep_unread else exploded.where(~dropped)
+    kept = exploded if mark else exploded.where(~dropped)
     return kept.select(
-        *named, *[F.col(f"_row.{c}").alias(c) for c in LISTS], *[f"{c}_raw" for c in LISTS], *order
+        *named, *[F.col(f"_row.{c}").alias(c) for c in LISTS], *[f"{c}_raw" for c in LISTS], *order,
+        *([dropped.alias(mark)] if mark else []),
     )
 
 
@@ -124,6 +135,15 @@ def sort_report_messages(logs: DataFrame, keys: Sequence[str] = tuple(fv.SORT_RE
     return with_payload(records_of(logs, fv.SORT_REPORT_CODE), keys)
 
 
-def sort_report_rows(logs: DataFrame) -> DataFrame:
-    """Sort reports, one row per attempted destination, with the analysis columns only."""
-    return explode_destinations(sort_report_messages(logs)).select(*fv.SORT_REPORT_KEEP, ORDER)
+def staged_sort_reports(logs: DataFrame, columns: Sequence[str] | None = tuple(fv.SORT_REPORT_KEEP)) -> tuple[DataFrame, DataFrame]:
+    """Sort reports parsed once into a staged table.
+
+    Returns one row per message and one row per attempted destination, both
+    reading the staged table. A message whose destinations are all dropped
+    is still a message, so dropped rows are stored and marked.
+    """
+    marked = explode_destinations(sort_report_messages(logs), mark=DROPPED)
+    if columns is not None:
+        marked = marked.select(*columns, ORDER, DROPPED)
+    table = stage(marked, "sort-reports")
+    return table.where(F.col(f"{ORDER}.place") == 0), table.where(~F.col(DROPPED)).drop(DROPPED)

@@ -5,7 +5,6 @@ from __future__ import annotations
 from datetime import datetime
 from typing import Any
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,14 +18,8 @@ from sorterlog.operators.fixes import fix_by_membership, fix_by_occurrence, scan
 from sorterlog.operators.lookup import add_destinations, add_sort_reason, build_mapping
 from sorterlog.operators.packages import assign_packages, package_table
 from sorterlog.operators.timewindow import between, resolve_window
-from sorterlog.plans.messages import (
-    explode_destinations,
-    first_elements,
-    records_of,
-    sort_report_messages,
-    with_payload,
-)
-from sorterlog.sources.logs import ORDER
+from sorterlog.plans.messages import first_elements, records_of, sort_report_messages, staged_sort_reports, with_payload
+from sorterlog.sources.staging import stage
 
 LABEL_CODE = "_label_code"
 
@@ -41,7 +34,6 @@ def s04_analysis(
     fixes: DataFrame | None = None,
     relabel: bool = False,
     pivot_destinations: list[str] | None = None,
-    storage: StorageLevel | None = None,
 ) -> dict[str, Any]:
     """Package-level analysis of sort reports.
 
@@ -50,20 +42,17 @@ def s04_analysis(
     `relabel` is set; recirculation, jackpots and scan defects see corrected
     codes either way.
 
-    All metrics read the package table, a narrow row per package. Pass a
-    `storage` level to keep it while several tables are written.
+    The text is parsed once into a staged table and packages are formed once
+    into another; every result reads one of the two.
     """
     dim = build_mapping(mapping)
-    messages = sort_report_messages(logs)
-    rows = explode_destinations(messages).select(*fv.SORT_REPORT_KEEP, ORDER)
+    messages, rows = staged_sort_reports(logs)
     window = resolve_window(rows, start, end, minutes, full)
     typed = window.rows.withColumn(LABEL_CODE, F.col("sortCode"))
     fixed = fix_by_occurrence(typed, fixes) if fixes is not None else typed
     label = "sortCode" if relabel else LABEL_CODE
 
-    packages = package_table(fixed, label_code=label)
-    if storage is not None:
-        packages = packages.persist(storage)
+    packages = stage(package_table(fixed, label_code=label), "packages")
     destinations = pm.reason_destination_counts(packages, dim)
     jackpots = pm.jackpot_packages(fixed, dim)
     labelled = fixed.withColumn("sortReason", sort_reason(label)).withColumn("defectCategory", defect_category("sortReason"))
@@ -83,7 +72,7 @@ def s04_analysis(
         "packages": packages,
         "window_data": window_data,
         "parsed_data": rows,
-        "raw_data": messages,
+        "raw_data": sort_report_messages(logs),
     }
     if pivot_destinations is not None:
         tables["reason_dest_pivot"] = pm.reason_destination_pivot(destinations, columns=pivot_destinations)
@@ -108,8 +97,7 @@ def s04_barcode_analysis(
     prune: bool = False,
 ) -> dict[str, Any]:
     """Record and barcode level analysis of sort reports; corrections come before labels."""
-    messages = with_payload(records_of(logs, fv.SORT_REPORT_CODE), fv.SORT_REPORT_KEYS)
-    rows = explode_destinations(messages)
+    _, rows = staged_sort_reports(logs, columns=None)
     if prune:
         rows = drop_constant_columns(rows, protect=["sortCode", "indexNo", "timeStamp", "barcodeAWCS"])
     window = resolve_window(rows, start, end, minutes, full)
@@ -153,7 +141,7 @@ def s04_first_element_analysis(
     is no message code filter.
     """
     records = records_of(logs, None, scrub=False)
-    rows = first_elements(with_payload(records, fv.SORT_REPORT_KEYS), literal=True)
+    rows = stage(first_elements(with_payload(records, fv.SORT_REPORT_KEYS, scrubbed=False), literal=True), "first-elements")
     fixed = fix_by_membership(rows, fixes) if fixes is not None else rows
     if prune:
         fixed = drop_constant_columns(fixed)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sorterlog.sources.logs import ORDER, read_lines
+from sorterlog.sources.logs import ORDER, line_order, read_lines
 
 
 def combine_logs(spark: SparkSession, directory: str, suffix: str = "*.log") -> DataFrame:
@@ -32,11 +32,11 @@ def combine_logs(spark: SparkSession, directory: str, suffix: str = "*.log") ->
 
 def file_headers(spark: SparkSession, path: str) -> DataFrame:
     """First non-blank line per file. One row per file, as many as the listing holds."""
-    lines = read_lines(spark, path, skip_unreadable=True).where((F.trim("value") != "") & (F.col(f"{ORDER}.block") == 0))
+    lines = read_lines(spark, path, skip_unreadable=True).withColumn("_line", F.monotonically_increasing_id()).where((F.trim("value") != "") & (F.col("_block") == 0))
     # File paths in metadata are percent-encoded.
-    name = F.url_decode(F.replace(F.col(f"{ORDER}.file"), F.lit("+"), F.lit("%2B")))
+    name = F.url_decode(F.replace(F.col("_file"), F.lit("+"), F.lit("%2B")))
     return lines.groupBy(name.alias("file")).agg(
-        F.min_by("value", F.col(f"{ORDER}.line")).alias("header")
+        F.min_by("value", "_line").alias("header")
     )
 
 
@@ -47,7 +47,7 @@ def _read_group(spark: SparkSession, header: str, files: list[str]) -> DataFrame
     lines = read_lines(spark, literal, skip_unreadable=True).where((F.trim("value") != "") & (F.col("value") != header))
     parsed = lines.where(_field_count(F.col("value")) <= len(names)).select(
         F.from_csv("value", _ddl(names), {"sep": ";", "escape": '"'}).alias("r"),
-        "source_file", ORDER,
+        "source_file", line_order(),
     )
     return parsed.select("r.*", "source_file", ORDER)
 

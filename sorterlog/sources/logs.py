@@ -14,24 +14,27 @@ ORDER = "_ord"
 
 
 def read_lines(spark: SparkSession, paths: str | Sequence[str], skip_unreadable: bool = False) -> DataFrame:
-    """Lines with their position: `value`, `source_file` and the sort key `_ord`.
-
-    Text splits are read in parallel and carry no line number. The running id
-    grows inside a split, the block start orders the splits of a file, so the
-    triple restores file order without any shuffle.
-    """
+    """Lines with what places them: `value`, `source_file`, `_file` (path) and `_block` (split start)."""
     reader = spark.read.option("ignoreCorruptFiles", str(skip_unreadable).lower())
     return reader.text(paths if isinstance(paths, str) else list(paths)).select(
         "value",
         F.col("_metadata.file_name").alias("source_file"),
-        F.struct(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("line"),
-        ).alias(ORDER),
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
     )
 
 
+def line_order() -> Column:
+    """Sort key that restores file order without a shuffle.
+
+    Text splits are read in parallel and carry no line number. The running id
+    grows inside a split, the block start orders the splits of a file.
+    """
+    return F.struct(
+        F.col("_file").alias("file"), F.col("_block").alias("block"), F.monotonically_increasing_id().alias("line")
+    ).alias(ORDER)
+
+
 def split_fields(lines: DataFrame, columns: Sequence[str] = tuple(fv.LOG_COLUMNS), line: str = "value",
                  missing: bool = True) -> DataFrame:
     """Cut lines into named string columns; every other column is kept.
@@ -39,19 +42,23 @@ def split_fields(lines: DataFrame, columns: Sequence[str] = tuple(fv.LOG_COLUMNS
     NUL characters vanish, blank lines and lines with too many fields are
     skipped, short lines end in nulls, blanks after a separator are dropped,
     quotes are ordinary characters. With `missing`, texts such as 'NA' are null.
+
+    Lines from `read_lines` get their `_ord` key here, in the same step as the
+    cut. Filters on fields then stay above it, so a line is cut just once.
     """
-    others = [c for c in lines.columns if c != line]
-    fields = F.split(F.translate(F.col(line), "\0", ""), ";")
+    placed = "_file" in lines.columns and "_block" in lines.columns
+    others = [c for c in lines.columns if c not in (line, "_file", "_block")]
+    kept = [*others, ORDER] if placed else others
+    clean = F.ltrim(F.replace(F.col(line), F.lit("\0"), F.lit("")))
 
     def field(i: int) -> Column:
-        text = F.ltrim(F.get(F.col("_fields"), F.lit(i)))
+        text = F.get(F.col("_fields"), F.lit(i))
         return blank_to_null(text) if missing else text
 
+    cut = lines.select(*others, *([line_order()] if placed else []), F.split(clean, "; *").alias("_fields"))
     return (
-        lines.where(strip(F.translate(F.col(line), "\0", "")) != "")
-        .select(*others, fields.alias("_fields"))
-        .where(F.size("_fields") <= len(columns))
-        .select(*others, *[field(i).alias(name) for i, name in enumerate(columns)])
+        cut.where((F.size("_fields") <= len(columns)) & ((F.size("_fields") > 1) | (strip(F.get("_fields", F.lit(0))) != "")))
+        .select(*kept, *[field(i).alias(name) for i, name in enumerate(columns)])
     )
 
 
