@@ -27,7 +27,8 @@ from sorterlog.plans import alarm_reports, messages
 from sorterlog.plans.induction import induction_rate, single_line_rate
 from sorterlog.plans.measurements import MEASURES, measurement_rows
 from sorterlog.plans.sort_report import s04_analysis
-from sorterlog.sources.logs import ORDER, read_flat_export, read_log_monitor, split_fields
+from sorterlog.sources.staging import stage
+from sorterlog.sources.logs import ORDER, read_flat_export, read_lines, read_log_monitor, split_fields
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -161,7 +162,8 @@ def message_roundtrip(spark, sf):
         "requestedDestMCID": r.bracketed(F.col("l_suppkey"), F.col("l_partkey")), "sortCode": codes,
         "requestedDestStatus": F.lit("[Used,FromAwcs]"), "junk": F.lit("x,nothing"), "itemID ": F.col("l_orderkey"),
     })
-    lines = li.select(raw.alias("rawMessage"), r.order_of(F.col("l_orderkey")))
+    path = r.log_files(li.select(raw.alias("value")), "messages")
+    lines = split_fields(read_lines(spark, path), ["rawMessage"])
     rows = messages.explode_destinations(messages.with_payload(lines, fv.SORT_REPORT_KEYS, scrubbed=False))
     return rows.select(
         "itemID", "requestedDestMCID", "sortCode", F.col("requestedDestStatus").alias("status"),
@@ -598,7 +600,7 @@ def typed_events(spark, sf):
 
 
 def event_spacings(spark, sf):
-    return sp.interarrival_counts(typed_events(spark, sf), "event_type", "ts")
+    return stage(sp.interarrival_counts(typed_events(spark, sf), "event_type", "ts"), "spacings")
 
 
 @query("interarrival", f"WITH {DIFF_SQL} SELECT event_id, event_type, diff AS time_diff FROM d")
@@ -608,7 +610,7 @@ def interarrival(spark, sf):
 
 @query("interarrival_distribution", f"WITH {DIFF_SQL} SELECT event_type, diff AS time_diff FROM d WHERE diff IS NOT NULL")
 def interarrival_distribution(spark, sf):
-    return sp.collect_spacings(event_spacings(spark, sf), "event_type")
+    return sp.collect_spacings(sp.interarrival_counts(typed_events(spark, sf), "event_type", "ts"), "event_type")
 
 
 @query("interarrival_stats", f"""WITH {DIFF_SQL},

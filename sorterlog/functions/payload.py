@@ -19,8 +19,8 @@ def strip_frame(raw: Column | str) -> Column:
     return F.regexp_replace(F.regexp_replace(as_column(raw), r"^->\{", ""), r"\}<$", "")
 
 
-# Brackets that are nested, unclosed or closed without being open.
-_UNEVEN = r"\[[^\[\]]*+(?:\[|\z)|\A[^\[\]]*+\]|\][^\[\]]*+\]"
+# Every bracket is closed before the next one opens.
+_FLAT = r"\A[^\[\]]*+(?:\[[^\[\]]*+\][^\[\]]*+)*+\z"
 
 
 def split_pairs(text: Column | str, trim: bool = True) -> Column:
@@ -34,7 +34,7 @@ def split_pairs(text: Column | str, trim: bool = True) -> Column:
     text = as_column(text)
     # One comma at the very end closes the last piece and opens none.
     flat = F.split(F.regexp_replace(text, r",\z", ""), r",(?![^\[\]]*+\])")
-    pieces = F.when(text.rlike(_UNEVEN), _depth_split(text)).otherwise(flat)
+    pieces = F.when(text.rlike(_FLAT), flat).otherwise(_depth_split(text))
     pieces = F.transform(pieces, strip) if trim else pieces
     return F.when(text == "", F.array().cast("array<string>")).otherwise(pieces)
 
@@ -113,7 +113,7 @@ def int_list(value: Column | str) -> Column:
     nulls = lambda _: F.lit(None).cast("bigint")
     return (
         F.when(~is_list(value) | value.isNull(), F.array(F.lit(None).cast("bigint")))
-        .when(value.rlike(_INT_LIST), F.transform(_items(value), lambda x: strip(x).try_cast("bigint")))
+        .when(value.rlike(_INT_LIST), F.regexp_extract_all(value, F.lit("([+-]?[0-9]+)")).try_cast("array<bigint>"))
         .when(value.rlike(_QUOTED_LIST), F.transform(_items(value), nulls))
         .otherwise(F.array().cast("array<bigint>"))
     )
@@ -139,7 +139,8 @@ def first_text(value: Column | str) -> Column:
 def first_int(value: Column | str) -> Column:
     """First element of a readable integer list, else null."""
     value = as_column(value)
-    return F.when(value.rlike(_INT_LIST), F.get(int_list(value), F.lit(0)))
+    first = F.regexp_extract(value, r"\A\[\s*([+-]?[0-9]+)", 1)
+    return F.when(value.rlike(_INT_LIST) & (first != ""), first.try_cast("bigint"))
 
 
 def first_literal(value: Column | str) -> Column:
@@ -160,20 +161,16 @@ def repair_pairs(text: Column | str) -> Column:
     return F.regexp_replace(fixed, rf"^\s*([A-Za-z_]\w*)\s*,\s*{number}", "$1:$2")
 
 
-def aligned_lists(fillers: dict[str, tuple[Column, Column]]) -> Column:
-    """Zip arrays of unequal length into one array of structs.
+def padded_to_longest(lists: dict[str, tuple[Column, Column]]) -> dict[str, Column]:
+    """Arrays padded to the length of the longest of them.
 
-    `fillers` maps a field name to (array, filler). Places beyond an array's
-    own end take the filler; null elements inside it stay null. When all
-    arrays are empty the result holds a single struct of nulls.
+    `lists` maps a name to (array, filler). Places beyond an array's own end
+    take the filler; null elements inside it stay null. When all are empty
+    each becomes one null.
     """
-    n = F.greatest(*[F.size(a) for a, _ in fillers.values()]) if len(fillers) > 1 else F.size(next(iter(fillers.values()))[0])
-
-    def row(i: Column) -> Column:
-        return F.struct(*[
-            F.when(i < F.size(a), F.get(a, i)).otherwise(fill).alias(name)
-            for name, (a, fill) in fillers.items()
-        ])
-
-    empty = F.array(F.struct(*[F.get(a, F.lit(0)).alias(name) for name, (a, _) in fillers.items()]))
-    return F.when(n == 0, empty).otherwise(F.transform(F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1), row))
+    sizes = [F.size(a) for a, _ in lists.values()]
+    n = F.greatest(*sizes) if len(sizes) > 1 else sizes[0]
+    return {
+        name: F.concat(a, F.array_repeat(F.when(n > 0, fill), F.greatest(n, F.lit(1)) - F.size(a)))
+        for name, (a, fill) in lists.items()
+    }

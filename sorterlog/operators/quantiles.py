@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sorterlog.operators.ordered import SLICE, with_value_slices
+from sorterlog.sources.staging import stage
 
 WEIGHT = "_w"
 
@@ -34,7 +35,9 @@ def at_ranks(counts: DataFrame, value: str, ranks: Mapping[str, Column], by: Seq
     """
     names = list(ranks)
     keys = list(by) or ["_all"]
-    base = counts if by else counts.withColumn("_all", F.lit(1))
+    # Slicing, slice totals and the final sort each read the counts.
+    table = stage(counts, "value-counts")
+    base = table if by else table.withColumn("_all", F.lit(1))
     sliced = with_value_slices(base.withColumn(value, F.col(value).cast("double")), value, slices)
 
     across = Window.partitionBy(*keys).orderBy(SLICE)

@@ -14,6 +14,7 @@ from sorterlog.operators.ordered import SLICE, add_previous, time_slice, with_va
 from sorterlog.operators.quantiles import WEIGHT, median, upper_median, value_counts_of
 from sorterlog.operators.sizing import broadcast_if_small
 from sorterlog.sources.logs import ORDER
+from sorterlog.sources.staging import stage
 
 MAX_EDGES = 100_000
 
@@ -59,6 +60,7 @@ def interarrival_counts(df: DataFrame, by: str, ts: str = "timeStamp", out: str
 
 def spacing_stats(counts: DataFrame, by: str, value: str = "time_diff", slices: int = 512) -> DataFrame:
     """Count, mean, smallest, largest and upper median per destination."""
+    counts = stage(counts, "spacings")
     basic = counts.groupBy(by).agg(
         F.sum(WEIGHT).alias("count"),
         (F.sum(F.col(value) * F.col(WEIGHT)) / F.sum(WEIGHT)).alias("mean"),
@@ -84,6 +86,7 @@ def fixed_width_histogram(counts: DataFrame, by: str, value: str = "time_diff",
     Up to 100,000 edges are laid by repeated addition, so values on an edge
     fall as they would by hand. Longer ranges compute the bin by division.
     """
+    counts = stage(counts, "spacings")
     tops = counts.groupBy(by).agg((F.max(value) + width).alias("_reach"))
     upper = tops.agg(F.max("_reach")).first()[0]
     usable = counts.where(F.col(value) >= 0)
@@ -114,7 +117,8 @@ def position_gaps(df: DataFrame, by: str, position: str, slices: int = 512, out:
 
     Positions are taken in their own order; the first of a group has no gap.
     """
-    counted = value_counts_of(df, position, [by])
+    # Slice borders and both halves of the neighbour search each read the counted positions.
+    counted = stage(value_counts_of(df, position, [by]), "positions")
     points = add_previous(with_value_slices(counted, position, slices), [by], position, "_prev")
     own = F.struct((F.col(position) - F.col("_prev")).alias(out), F.lit(1).cast("bigint").alias(WEIGHT))
     same = F.struct(F.lit(0.0).alias(out), (F.col(WEIGHT) - 1).alias(WEIGHT))
@@ -124,8 +128,9 @@ def position_gaps(df: DataFrame, by: str, position: str, slices: int = 512, out:
 
 def auto_scale(counts: DataFrame, value: str = "gap", slices: int = 512) -> DataFrame:
     """Bring values to millimetres by their median: above 100 they are micrometres, above 10 tenths."""
-    total = counts.groupBy().agg(F.sum(WEIGHT)).first()[0]
-    middle = median(counts, value, slices).first()[0] if total else None
+    counts = stage(counts, "gaps")
+    found = median(counts, value, slices).first()
+    middle = found[0] if found is not None else None
     divisor = 1000.0 if middle is not None and middle > 100 else 10.0 if middle is not None and middle > 10 else 1.0
     return counts.withColumn(value, F.col(value) / divisor)
 
@@ -149,6 +154,7 @@ def bin_matrix(counts: DataFrame, by: str, value: str = "gap", labels: Sequence[
 
 def equal_width_histogram(counts: DataFrame, by: str, value: str, bins: int) -> DataFrame:
     """Counts in `bins` equal parts of each group's own range, last part closed, empty parts 0."""
+    counts = stage(counts, "value-counts")
     span = counts.groupBy(by).agg(F.min(value).cast("double").alias("_lo"), F.max(value).cast("double").alias("_hi"))
     flat = F.col("_lo") == F.col("_hi")
     span = span.select(

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from typing import Any
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,12 +12,14 @@ from sorterlog.operators.columns import drop_constant_columns
 from sorterlog.operators.counts import (
     categorical_profile,
     numeric_profile,
+    quantile_name,
     seeded_sample,
     text_columns,
     threshold_counts,
 )
-from sorterlog.operators.quantiles import quantiles
+from sorterlog.operators.quantiles import WEIGHT, quantiles
 from sorterlog.plans.messages import records_of, with_payload
+from sorterlog.plans.result import Tables
 from sorterlog.sources.logs import ORDER
 from sorterlog.sources.staging import stage
 
@@ -40,33 +40,33 @@ def item_measurements(
     sample_rows: int | None = None,
     prune: bool = False,
     slices: int = 512,
-) -> dict[str, Any]:
+) -> Tables:
     """Profiles, threshold counts and gap distributions of measured items."""
     rows = stage(measurement_rows(logs), "measurements")
     clean = drop_constant_columns(rows, all_null=True, protect=[*fv.MEASUREMENT_KEYS, "timeStamp"]) if prune else rows
     complete = clean.dropna(subset=MEASURES)
     if sample_rows is not None:
         complete = seeded_sample(complete, [ORDER], sample_rows)
-    lines = clean.where(F.col("inductionNo").isin(fv.AUTO_INDUCTIONS if inductions is None else inductions))
-    gaps = stage(sp.position_gaps(lines, "inductionNo", "positionFront", slices), "gaps")
-    scaled = sp.auto_scale(gaps, "gap", slices)
-    texts = [c for c in text_columns(clean) if c != "rawMessage"]
-    return {
-        "numeric_profile": numeric_profile(clean, [*MEASURES, "noOfCarriers"], slices=slices),
-        "categorical_profile": categorical_profile(clean, texts),
-        "threshold_counts": threshold_counts(complete, {
+    chosen = fv.AUTO_INDUCTIONS if inductions is None else inductions
+    lines = clean.where(F.col("inductionNo").isin(chosen))
+    probs = {quantile_name(p): p for p in fv.GAP_QUANTILES}
+    tables: Tables = Tables({
+        "numeric_profile": lambda: numeric_profile(clean, [*MEASURES, "noOfCarriers"], slices=slices),
+        "categorical_profile": lambda: categorical_profile(clean, text_columns(clean)),
+        "threshold_counts": lambda: threshold_counts(complete, {
             "length_width": ["length", "width"],
             "length_position": ["length", "positionFront"],
             "width_position": ["width", "positionFront"],
             "all": MEASURES,
         }),
-        "points": complete.select(*MEASURES, "noOfCarriers"),
-        "gap_counts": sp.bin_matrix(scaled, "inductionNo"),
-        "gap_quantiles": quantiles(
-            gaps.groupBy("gap").agg(F.sum("_w").alias("_w")), "gap",
-            {f"p{round(p * 100)}": p for p in fv.GAP_QUANTILES}, (), slices,
-        ),
-        "gap_histogram": sp.equal_width_histogram(gaps, "inductionNo", "gap", 50),
-        "gap_quartiles": quantiles(gaps, "gap", {"p25": 0.25, "p50": 0.5, "p75": 0.75}, ["inductionNo"], slices),
-        "clean_data": clean,
-    }
+        "points": lambda: complete.select(*MEASURES, "noOfCarriers"),
+        "gaps": lambda: stage(sp.position_gaps(lines, "inductionNo", "positionFront", slices), "gaps"),
+        "gap_counts": lambda: sp.bin_matrix(sp.auto_scale(tables["gaps"], "gap", slices), "inductionNo"),
+        "gap_quantiles": lambda: quantiles(
+            tables["gaps"].groupBy("gap").agg(F.sum(WEIGHT).alias(WEIGHT)), "gap", probs, (), slices),
+        "gap_histogram": lambda: sp.equal_width_histogram(tables["gaps"], "inductionNo", "gap", 50),
+        "gap_quartiles": lambda: quantiles(
+            tables["gaps"], "gap", {"p25": 0.25, "p50": 0.5, "p75": 0.75}, ["inductionNo"], slices),
+        "clean_data": lambda: clean,
+    })
+    return tables

@@ -81,21 +81,22 @@ def explode_destinations(messages: DataFrame, mark: str | None = None) -> DataFr
     statuses = F.when(pl.is_list("requestedDestStatus"), pl.text_list("requestedDestStatus")).otherwise(
         F.array(F.col("requestedDestStatus"))
     )
-    rows = pl.aligned_lists({
-        "requestedDestMCID": (F.col("_mcids"), minus),
-        "sortCode": (F.col("_codes"), minus),
-        "requestedDestStatus": (F.col("_statuses"), F.lit("Unused")),
-    })
+    named = [c for c in others if c != ORDER]
+    base = [*named, *([ORDER] if ORDER in others else []), *[f"{c}_raw" for c in LISTS]]
     lists = messages.select(
         *others, *[F.col(c).alias(f"{c}_raw") for c in LISTS],
         pl.int_list("requestedDestMCID").alias("_mcids"), pl.int_list("sortCode").alias("_codes"),
         statuses.alias("_statuses"),
     )
-    named = [c for c in others if c != ORDER]
-    exploded = lists.select(
-        *named, *([ORDER] if ORDER in others else []), *[f"{c}_raw" for c in LISTS],
-        F.posexplode(rows).alias("_place", "_row"),
-    )
+    padded = pl.padded_to_longest({
+        "requestedDestMCID": (F.col("_mcids"), minus),
+        "sortCode": (F.col("_codes"), minus),
+        "requestedDestStatus": (F.col("_statuses"), F.lit("Unused")),
+    })
+    zipped = lists.select(*base, *[c.alias(name) for name, c in padded.items()]).select(*base, F.arrays_zip(*LISTS).alias("_rows"))
+    # The lists are never empty. The outer form keeps the optimizer from adding a
+    # not-empty filter, which it would push down to the text with all the parsing in it.
+    exploded = zipped.select(*base, F.posexplode_outer("_rows").alias("_place", "_row"))
     # A numeric -1 in the status list also drops the row; the text '-1' in quotes does not.
     numeric_status = (F.col("_row.requestedDestStatus") == "-1") & F.col("requestedDestStatus_raw").rlike(r"^\[[^'\"]*\]$")
     dropped = F.coalesce(F.col("_row.requestedDestMCID") == -1, F.lit(False)) \

@@ -19,6 +19,7 @@ from sorterlog.operators.lookup import add_destinations, add_sort_reason, build_
 from sorterlog.operators.packages import assign_packages, package_table
 from sorterlog.operators.timewindow import between, resolve_window
 from sorterlog.plans.messages import first_elements, records_of, sort_report_messages, staged_sort_reports, with_payload
+from sorterlog.plans.result import Tables
 from sorterlog.sources.staging import stage
 
 LABEL_CODE = "_label_code"
@@ -34,7 +35,7 @@ def s04_analysis(
     fixes: DataFrame | None = None,
     relabel: bool = False,
     pivot_destinations: list[str] | None = None,
-) -> dict[str, Any]:
+) -> Tables:
     """Package-level analysis of sort reports.
 
     Returns the window bounds (`start_ts`, `end_ts`) and named tables. Reasons
@@ -42,7 +43,8 @@ def s04_analysis(
     `relabel` is set; recirculation, jackpots and scan defects see corrected
     codes either way.
 
-    The text is parsed once into a staged table and packages are formed once
+    The pivot has the given destination names as columns, or those that occur,
+    which costs a pass to find them. The text is parsed once into a staged table and packages are formed once
     into another; every result reads one of the two.
     """
     dim = build_mapping(mapping)
@@ -53,39 +55,32 @@ def s04_analysis(
     label = "sortCode" if relabel else LABEL_CODE
 
     packages = stage(package_table(fixed, label_code=label), "packages")
-    destinations = pm.reason_destination_counts(packages, dim)
-    jackpots = pm.jackpot_packages(fixed, dim)
-    labelled = fixed.withColumn("sortReason", sort_reason(label)).withColumn("defectCategory", defect_category("sortReason"))
-    window_data = assign_packages(add_destinations(labelled, dim)).drop(LABEL_CODE)
-    tables: dict[str, Any] = {
-        "start_ts": window.start,
-        "end_ts": window.end,
-        "summary": pm.run_summary(messages, packages),
-        "scanner_metrics": pm.scanner_metrics(packages),
-        "sort_counts": pm.sort_counts(packages),
-        "reason_dest_summary": destinations,
-        "recirculation": pm.recirculation_count(packages),
-        "defect_metrics": pm.defect_metrics(packages),
-        "jackpot_metrics": pm.jackpot_metrics(jackpots),
-        "jackpot_total": pm.jackpot_total(jackpots),
-        "scan_defects": scan_defects(fixed),
-        "packages": packages,
+
+    def window_data() -> DataFrame:
+        labelled = fixed.withColumn("sortReason", sort_reason(label)).withColumn("defectCategory", defect_category("sortReason"))
+        return assign_packages(add_destinations(labelled, dim)).drop(LABEL_CODE)
+
+    tables: Tables = Tables({
+        "summary": lambda: pm.run_summary(messages, packages),
+        "scanner_metrics": lambda: pm.scanner_metrics(packages),
+        "sort_counts": lambda: pm.sort_counts(packages),
+        "reason_dest_summary": lambda: pm.reason_destination_counts(packages, dim),
+        "reason_dest_pivot": lambda: pm.reason_destination_pivot(tables["reason_dest_summary"], columns=pivot_destinations),
+        "recirculation": lambda: pm.recirculation_count(packages),
+        "defect_metrics": lambda: pm.defect_metrics(packages),
+        "jackpots": lambda: pm.jackpot_packages(fixed, dim),
+        "jackpot_metrics": lambda: pm.jackpot_metrics(tables["jackpots"]),
+        "jackpot_total": lambda: pm.jackpot_total(tables["jackpots"]),
+        "scan_defects": lambda: scan_defects(fixed),
+        "packages": lambda: packages,
         "window_data": window_data,
-        "parsed_data": rows,
-        "raw_data": sort_report_messages(logs),
-    }
-    if pivot_destinations is not None:
-        tables["reason_dest_pivot"] = pm.reason_destination_pivot(destinations, columns=pivot_destinations)
-    if fixes is not None:
-        tables["unapplied_ids"] = unapplied_ids(typed, fixes)
+        "parsed_data": lambda: rows,
+        "raw_data": lambda: sort_report_messages(logs),
+        **({"unapplied_ids": lambda: unapplied_ids(typed, fixes)} if fixes is not None else {}),
+    }, start_ts=window.start, end_ts=window.end)
     return tables
 
 
-def reason_pivot(tables: dict[str, Any]) -> DataFrame:
-    """Pivot with the destination names that occur as columns; finding them runs the counts once."""
-    return pm.reason_destination_pivot(tables["reason_dest_summary"])
-
-
 def s04_barcode_analysis(
     logs: DataFrame,
     mapping: DataFrame,

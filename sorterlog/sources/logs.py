@@ -49,13 +49,13 @@ def split_fields(lines: DataFrame, columns: Sequence[str] = tuple(fv.LOG_COLUMNS
     placed = "_file" in lines.columns and "_block" in lines.columns
     others = [c for c in lines.columns if c not in (line, "_file", "_block")]
     kept = [*others, ORDER] if placed else others
-    clean = F.ltrim(F.replace(F.col(line), F.lit("\0"), F.lit("")))
+    clean = F.replace(F.col(line), F.lit("\0"), F.lit(""))
 
     def field(i: int) -> Column:
-        text = F.get(F.col("_fields"), F.lit(i))
+        text = F.ltrim(F.get(F.col("_fields"), F.lit(i)))
         return blank_to_null(text) if missing else text
 
-    cut = lines.select(*others, *([line_order()] if placed else []), F.split(clean, "; *").alias("_fields"))
+    cut = lines.select(*others, *([line_order()] if placed else []), F.split(clean, ";").alias("_fields"))
     return (
         cut.where((F.size("_fields") <= len(columns)) & ((F.size("_fields") > 1) | (strip(F.get("_fields", F.lit(0))) != "")))
         .select(*kept, *[field(i).alias(name) for i, name in enumerate(columns)])

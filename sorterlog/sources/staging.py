@@ -34,8 +34,12 @@ def staging_folder(spark: SparkSession) -> str:
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write `df` once and return the written table."""
+    """Write `df` once and return the written table; a table that is staged already is returned as it is."""
+    if df.__dict__.get("_is_staged"):
+        return df
     spark = df.sparkSession
     path = f"{staging_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.__dict__["_is_staged"] = True
+    return table

@@ -10,7 +10,7 @@ from sorterlog.plans import alarm_reports, messages
 from sorterlog.plans.destinations import bypass_spacing, s02_destinations
 from sorterlog.plans.induction import induction_rate, single_line_rate
 from sorterlog.plans.measurements import item_measurements
-from sorterlog.plans.sort_report import reason_pivot, s04_analysis, s04_barcode_analysis, s04_first_element_analysis
+from sorterlog.plans.sort_report import s04_analysis, s04_barcode_analysis, s04_first_element_analysis
 from sorterlog.sources.logs import read_flat_export, read_log_monitor
 from tests.conftest import rows
 
@@ -86,7 +86,7 @@ def test_sort_report(logs, mapping):
     assert rows(t["sort_counts"]) == [("Destination_Full", 1), ("No_Read", 2), ("Success", 1)]
     assert rows(t["reason_dest_summary"]) == [
         ("Destination_Full", "A-159", 1), ("No_Read", "A-159", 1), ("No_Read", "A-76", 1), ("Success", "A-159", 1)]
-    pivot = {r["sortReason"]: (r["A-159"], r["A-76"]) for r in reason_pivot(t).collect()}
+    pivot = {r["sortReason"]: (r["A-159"], r["A-76"]) for r in t["reason_dest_pivot"].collect()}
     assert pivot == {"Destination_Full": (1, 0), "No_Read": (1, 1), "Success": (1, 0)}
     assert rows(t["defect_metrics"]) == [("No Defect", 2, 50.0), ("Scan Defect", 2, 50.0)]
     assert rows(t["jackpot_metrics"]) == [("CHU159", "A-159", 1)] and t["jackpot_total"].first()[0] == 1
