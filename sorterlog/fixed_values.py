@@ -47,6 +47,14 @@ INDUCTION_KEYS = [
 ]
 MEASUREMENT_KEYS = ["inductionNo", "length", "width", "positionFront", "noOfCarriers"]
 
+# ---- Fixed values: payload and barcode patterns --------------------------
+FRAME_START = "->{"
+FRAME_END = "}<"
+PAIR_AFTER_COMMA = r",\s*([A-Za-z_]\w*)\s*,\s*([-+]?\d+(?:\.\d+)?)"
+PAIR_AT_START = r"^\s*([A-Za-z_]\w*)\s*,\s*([-+]?\d+(?:\.\d+)?)"
+NO_READ_BARCODE = r"\?+"
+MULTI_READ_BARCODE = r"9+"
+
 # ---- Fixed values: sort codes and defect categories ----------------------
 SORT_REASONS = {
     0: "Success",
@@ -117,6 +125,10 @@ TARGET_ALL_SEMI = 9119.0 / 4.0
 TARGET_ALL_AUTO = 7351.0 / 3.0
 TARGET_SPS = 100.0
 LINE_TARGET = 2450.0
+ADVICE_FORMAT = "Need +%d items in this %.1f min window or reduce sec/bag to ≤ %.2f (current %.2f)."
+ADVICE_ON_TARGET = "On target or above. Maintain current rate."
+SUMMARY_FORMAT = "%s;Measuring Point: %s: Time %s; Total Inducted = %d"
+TOTAL_LINE = "All Inductions"
 MEASURING_POINT = "MP1000605"
 LINE_NAME = "IU006"
 

@@ -88,12 +88,12 @@ def destination_label(own: Column | str, customer: Column | str) -> Column:
 
 def is_no_read(barcode: Column | str) -> Column:
     """Barcode made of question marks only; null counts as False."""
-    return F.coalesce(as_column(barcode).rlike(r"\A\?+\z"), F.lit(False))
+    return F.coalesce(as_column(barcode).rlike(rf"\A(?:{fv.NO_READ_BARCODE})\z"), F.lit(False))
 
 
 def is_multi_read(barcode: Column | str) -> Column:
     """Barcode made of nines only; null counts as False."""
-    return F.coalesce(as_column(barcode).rlike(r"\A9+\z"), F.lit(False))
+    return F.coalesce(as_column(barcode).rlike(rf"\A(?:{fv.MULTI_READ_BARCODE})\z"), F.lit(False))
 
 
 def contains(c: Column | str, text: str) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from sorterlog import fixed_values as fv
 from sorterlog.functions.fields import as_column, strip
 
 # An integer in list notation: no leading zeros, optional sign.
@@ -16,7 +17,8 @@ _QUOTED_LIST = rf"^\[{_QUOTED}(?:,{_QUOTED})*,?\s*\]$"
 
 def strip_frame(raw: Column | str) -> Column:
     """Remove a leading '->{' and a trailing '}<', each only where present."""
-    return F.regexp_replace(F.regexp_replace(as_column(raw), r"^->\{", ""), r"\}<$", "")
+    start, end = rf"\A\Q{fv.FRAME_START}\E", rf"\Q{fv.FRAME_END}\E\z"
+    return F.regexp_replace(F.regexp_replace(as_column(raw), start, ""), end, "")
 
 
 # Every bracket is closed before the next one opens.
@@ -156,9 +158,8 @@ def first_literal(value: Column | str) -> Column:
 
 def repair_pairs(text: Column | str) -> Column:
     """Turn 'key , 123' into 'key:123' after a comma and at the start."""
-    number = r"([-+]?\d+(?:\.\d+)?)"
-    fixed = F.regexp_replace(as_column(text), rf",\s*([A-Za-z_]\w*)\s*,\s*{number}", ",$1:$2")
-    return F.regexp_replace(fixed, rf"^\s*([A-Za-z_]\w*)\s*,\s*{number}", "$1:$2")
+    fixed = F.regexp_replace(as_column(text), fv.PAIR_AFTER_COMMA, ",$1:$2")
+    return F.regexp_replace(fixed, fv.PAIR_AT_START, "$1:$2")
 
 
 def padded_to_longest(lists: dict[str, tuple[Column, Column]]) -> dict[str, Column]:

@@ -39,7 +39,7 @@ def with_value_slices(points: DataFrame, value: str, slices: int = 512) -> DataF
     borders = sorted({b for b in found if b == b})
     if not borders:
         return points.withColumn(SLICE, F.lit(0).cast("bigint"))
-    cut = Bucketizer(splits=[float("-inf"), *borders, float("inf")], inputCol=value, outputCol=SLICE)
+    cut = Bucketizer(splits=[float("-inf"), *borders, float("inf")], inputCol=value, outputCol=SLICE, handleInvalid="keep")
     return cut.transform(points).withColumn(SLICE, F.col(SLICE).cast("bigint"))
 
 

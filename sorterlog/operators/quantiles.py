@@ -11,6 +11,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sorterlog.operators.ordered import SLICE, with_value_slices
 from sorterlog.sources.staging import stage
@@ -21,6 +22,8 @@ WEIGHT = "_w"
 def value_counts_of(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
     """Distinct values per group with their row count; null groups and values are left out."""
     present = F.col(value).isNotNull()
+    if isinstance(df.schema[value].dataType, (T.DoubleType, T.FloatType)):
+        present = present & ~F.isnan(value)
     for c in by:
         present = present & F.col(c).isNotNull()
     return df.where(present).groupBy(*by, value).agg(F.count(F.lit(1)).alias(WEIGHT))

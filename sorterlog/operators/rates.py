@@ -59,18 +59,12 @@ def rate_columns(n: Column, seconds: Column, target: Column) -> dict[str, Column
 
 
 def recommendation(n: Column, seconds: Column, short: Column, current: Column, wanted: Column) -> Column:
-    advice = F.format_string(
-        "Need +%d items in this %.1f min window or reduce sec/bag to ≤ %.2f (current %.2f).",
-        short, seconds / 60.0, wanted, current,
-    )
-    return F.when((seconds > 0) & (n > 0) & (short > 0), advice).otherwise(
-        F.lit("On target or above. Maintain current rate.")
-    )
+    advice = F.format_string(fv.ADVICE_FORMAT, short, seconds / 60.0, wanted, current)
+    return F.when((seconds > 0) & (n > 0) & (short > 0), advice).otherwise(F.lit(fv.ADVICE_ON_TARGET))
 
 
 def summary_line(line: Column, point: Column, label: Column, n: Column) -> Column:
-    return F.concat(line, F.lit(";Measuring Point: "), point, F.lit(": Time "), label,
-                    F.lit("; Total Inducted = "), n.cast("string"))
+    return F.format_string(fv.SUMMARY_FORMAT, line, point, label, n)
 
 
 def induction_rates(window: TimeWindow, name: str = "inductionNo", measuring_point: str = fv.MEASURING_POINT) -> DataFrame:
@@ -103,7 +97,7 @@ def with_total(rates: DataFrame) -> DataFrame:
         F.sum("n_items").alias("n_items"), F.sum("pph_window").alias("pph_window"),
         (F.max("target_pph") * F.count(F.lit(1))).alias("target_pph"), F.count(F.lit(1)).alias("_lines"),
     ).where(F.col("_lines") > 0).select(
-        F.lit("All Inductions").alias("line_name"), "n_items", "pph_window", "target_pph",
+        F.lit(fv.TOTAL_LINE).alias("line_name"), "n_items", "pph_window", "target_pph",
         (F.col("pph_window") / F.col("target_pph") * 100).alias("attainment_window_%"),
     )
     both = rates.withColumn("_o", F.lit(0)).unionByName(total.withColumn("_o", F.lit(1)), allowMissingColumns=True)
