@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -71,16 +71,20 @@ def shape(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("rows"), *[F.count(F.col(f"`{c}`")).alias(c) for c in df.columns])
 
 
-def with_remainder(counts: DataFrame, total: Column, label: str, name: str, places: int) -> DataFrame:
-    """Append the rows that no category counts as one more category, then percentages of the total.
+def with_remainder(counts: DataFrame, label: str, name: str, places: int) -> DataFrame:
+    """Name the rows without a category, put them last and add percentages of all rows.
 
-    `counts` is a category table of a few rows; `total` a scalar.
+    `counts` has one row per category, null for the rest, so one pass over the
+    data gives categories, rest and total alike. The rest is listed even at 0.
     """
-    rest = counts.agg(F.greatest(total - F.coalesce(F.sum("count"), F.lit(0)), F.lit(0)).alias("count")).select(
-        F.lit(name).alias(label), "count"
+    none = counts.sparkSession.range(1).select(F.lit(name).alias(label), F.lit(0).cast("bigint").alias("count"))
+    named = counts.withColumn(label, F.coalesce(label, F.lit(name))).unionByName(none)
+    table = named.groupBy(label).agg(F.sum("count").alias("count")).withColumn("_all", F.lit(1))
+    total = F.sum("count").over(Window.partitionBy("_all"))
+    return (
+        table.withColumn("percentage", percent(F.col("count"), total, places)).drop("_all")
+        .orderBy(F.col(label) == name, F.desc("count"), label)
     )
-    both = counts.withColumn("_o", F.lit(0)).unionByName(rest.withColumn("_o", F.lit(1)))
-    return both.withColumn("percentage", percent(F.col("count"), total, places)).orderBy("_o", F.desc("count"), label).drop("_o")
 
 
 def numeric_profile(df: DataFrame, columns: Sequence[str], probs: Sequence[float] = (0.25, 0.5, 0.75), slices: int = 512) -> DataFrame:

@@ -60,21 +60,17 @@ def recirculation_count(packages: DataFrame) -> DataFrame:
 
 def defect_metrics(packages: DataFrame) -> DataFrame:
     """Packages per defect category of their first record, plus the rest as 'No Defect'."""
-    by_code = group_size(packages, "first_code", out="n")
+    by_code = group_size(packages, "first_code", keep_null=True, out="n")
     counts = (
         by_code.withColumn("defectCategory", defect_category(sort_reason("first_code")))
-        .where(F.col("defectCategory").isNotNull())
         .groupBy("defectCategory").agg(F.sum("n").alias("count"))
     )
-    total = packages.agg(F.count(F.lit(1))).scalar()
-    return with_remainder(counts, total, "defectCategory", "No Defect", 4)
+    return with_remainder(counts, "defectCategory", "No Defect", 4)
 
 
 def row_defect_metrics(df: DataFrame, places: int = 4, remainder: bool = True) -> DataFrame:
     """The same per record: `df` carries `defectCategory`."""
-    counts = group_size(df, "defectCategory")
-    total = df.agg(F.count(F.lit(1))).scalar()
-    table = with_remainder(counts, total, "defectCategory", "No Defect", places)
+    table = with_remainder(group_size(df, "defectCategory", keep_null=True), "defectCategory", "No Defect", places)
     return table if remainder else table.where(F.col("defectCategory") != "No Defect")
 
 
