@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sorterlog import fixed_values as fv
 from sorterlog.sources.logs import ORDER, read_log_monitor
-from sorterlog.sources.staging import staging_folder
+from sorterlog.sources.staging import new_folder
 from sorterlog.sources.tables import POSITION
 
 
@@ -157,7 +155,7 @@ def scan_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def log_files(lines: DataFrame, name: str) -> str:
     """Write rendered lines (`value`) as text files, as a controller would, and return the folder."""
-    path = f"{staging_folder(lines.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = new_folder(lines.sparkSession, name)
     lines.select("value").write.text(path)
     return path
 

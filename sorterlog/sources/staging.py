@@ -1,45 +1,54 @@
 """Intermediate tables.
 
-Raw text is expensive to read and parse, and one analysis needs the parsed
-rows many times. `stage` writes them once as Parquet below the cluster's
-checkpoint folder and reads them back. Later steps then scan only the columns
-they need, filters reach the scan, and lost executors cost no new parse.
+Some steps are read many times or are expensive to repeat. `stage` writes them
+once as Parquet below the cluster's checkpoint folder and reads them back.
+Later steps then scan only the columns they need, filters reach the scan, and
+lost executors cost no new parse.
 """
 
 from __future__ import annotations
 
 import atexit
-import shutil
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
-_local: dict[str, str] = {}
+_written: list[tuple[SparkSession, str]] = []
 
 
 def staging_folder(spark: SparkSession) -> str:
-    """The shared folder the session names; a temporary one only for local masters without it."""
+    """The shared folder the session names; where none is named, one below the warehouse, which executors share too.
+
+    The rule is the same for every master.
+    """
     named = spark.conf.get(SETTING, None) or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {SETTING} to a folder that all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _local:
-        _local[app] = tempfile.mkdtemp(prefix="sorterlog-")
-        atexit.register(shutil.rmtree, _local[app], ignore_errors=True)
-    return _local[app]
+    return (named or f"{spark.conf.get('spark.sql.warehouse.dir')}/_staging").rstrip("/")
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A fresh path below the staging folder, removed by `remove_staged`."""
+    if not _written:
+        atexit.register(remove_staged)
+    path = f"{staging_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _written.append((spark, path))
+    return path
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write `df` once and return the written table; a table that is staged already is returned as it is."""
-    if df.__dict__.get("_is_staged"):
-        return df
-    spark = df.sparkSession
-    path = f"{staging_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """Write `df` once and return the written table."""
+    path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
-    table = spark.read.schema(df.schema).parquet(path)
-    table.__dict__["_is_staged"] = True
-    return table
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove_staged(keep: int = 0) -> None:
+    """Delete all but the first `keep` tables this process staged; results read from them must be consumed before."""
+    while len(_written) > keep:
+        spark, path = _written.pop()
+        try:
+            jvm = spark.sparkContext._jvm
+            target = jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+        except Exception:  # noqa: BLE001  the session may be gone at exit; the folder's own clean-up then removes it
+            return
