@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sorterlog.llm import language, mixing
+from sorterlog.llm import language, mixing, simhash
 from sorterlog.llm.shared import crc_fold, read
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read(spark, sf_dir, "documents")).select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id",
+    )
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = language.fit(docs.where(crc_fold(F.col("doc_id"), 5) != 0))
@@ -28,6 +34,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op7_simhash": op7_simhash,
     "op8_language": op8_language,
     "op10_mixing": op10_mixing,
 }
