@@ -5,8 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sorterlog.llm import language, mixing, simhash
+from sorterlog.llm import language, mixing, packing, simhash, token_files
 from sorterlog.llm.shared import crc_fold, read
+from sorterlog.sources.staging import new_folder
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"))
+
+
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = token_files.write(read(spark, sf_dir, "documents"), new_folder(spark, "token-files"))
+    return token_files.read_back(manifest).select(F.col("key").alias("doc_id"), "start", "n_tokens", "ids_crc32")
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,6 +44,8 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_packing": op2_packing,
+    "op5_token_files": op5_token_files,
     "op7_simhash": op7_simhash,
     "op8_language": op8_language,
     "op10_mixing": op10_mixing,
