@@ -5,11 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sorterlog.llm import language, mixing, packing, simhash, token_files
+from sorterlog.llm import language, mixing, packing, quality, simhash, token_files
 from sorterlog.llm.shared import crc_fold, read
 from sorterlog.sources.staging import new_folder
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, fold = read(spark, sf_dir, "documents").select("doc_id", "text"), crc_fold(F.col("doc_id"), 3)
+    labels = quality.label_table(read(spark, sf_dir, "labels"), fold != 1)
+    return quality.score_table(spark, docs, labels).select(
+        "doc_id", (fold == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
 
@@ -44,6 +52,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality": op1_quality,
     "op2_packing": op2_packing,
     "op5_token_files": op5_token_files,
     "op7_simhash": op7_simhash,
