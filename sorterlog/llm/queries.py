@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sorterlog.llm import language, mixing, packing, quality, simhash, token_files
+from sorterlog.llm import language, mixing, packing, quality, simhash, token_files, vector_dedup
 from sorterlog.llm.shared import crc_fold, read
 from sorterlog.sources.staging import new_folder
 
@@ -22,6 +22,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
 
 
+def op4_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = token_files.write(read(spark, sf_dir, "documents"), new_folder(spark, "token-files"))
     return token_files.read_back(manifest).select(F.col("key").alias("doc_id"), "start", "n_tokens", "ids_crc32")
@@ -52,6 +56,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_vector_dedup": op4_vector_dedup,
     "op1_quality": op1_quality,
     "op2_packing": op2_packing,
     "op5_token_files": op5_token_files,
