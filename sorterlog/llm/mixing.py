@@ -134,22 +134,28 @@ def draw(sources: list[Source], block_sizes: dict[int, np.ndarray], shards: int,
 
 def assign(
     rows: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: float = CAP, shards: int | None = None, seed: int = 7,
+    narrow: DataFrame | None = None,
 ) -> DataFrame:
     """Where each document goes. `rows` has key, source and size; `copies` lists (round, shard) of every time it is taken.
 
-    Adds source_size, target and copies.
+    Adds source_size, target and copies. `narrow` has key, source and size of the same rows, written already;
+    it is made here if it is not given, so that sizes are counted once for all steps of the plan.
     """
     spark = prepare(rows.sparkSession)
-    sources = source_table(rows, weights, cap)
+    narrow = stage(rows.select("key", "source", "size"), "mix-sizes") if narrow is None else narrow
+    sources = source_table(narrow, weights, cap)
     if not sources:
         return rows.select("*", F.lit(0).cast("long").alias("source_size"), F.lit(0.0).alias("target"), F.array().cast("array<struct<round:int,shard:int>>").alias("copies"))
     table = spark.createDataFrame(
         [(i, s.name, s.size, s.target, s.blocks) for i, s in enumerate(sources)], "s int, name string, source_size long, target double, blocks int",
     )
-    placed = rows.join(F.broadcast(table), F.col("source").eqNullSafe(F.col("name"))).drop("name").withColumn(
-        "h", F.xxhash64(F.col("key").cast("string"), F.col("size"), F.lit(seed)),
-    ).withColumn("b", F.pmod("h", F.col("blocks").cast("long")).cast("int"))
-    sums = placed.groupBy("s", "b").agg(F.sum("size").alias("w")).toPandas()  # at most MAX_BLOCKS rows and one per source
+
+    def in_blocks(df: DataFrame) -> DataFrame:
+        return df.join(F.broadcast(table), F.col("source").eqNullSafe(F.col("name"))).drop("name").withColumn(
+            "h", F.xxhash64(F.col("key").cast("string"), F.col("size"), F.lit(seed)),
+        ).withColumn("b", F.pmod("h", F.col("blocks").cast("long")).cast("int"))
+
+    sums = in_blocks(narrow).groupBy("s", "b").agg(F.sum("size").alias("w")).toPandas()  # at most MAX_BLOCKS rows and one per source
     block_sizes = {}
     for i, group in sums.groupby("s"):
         block_sizes[i] = np.zeros(sources[i].blocks, np.int64)
@@ -179,12 +185,12 @@ def assign(
         return out.assign(s=group["s"].iloc[0], b=group["b"].iloc[0], round=group["round"].iloc[0], shard=group["shard"].iloc[0])[["s", "b", "h", "size", "round", "shard"]]
 
     edge = (
-        placed.join(F.broadcast(cut), ["s", "b"]).groupBy("s", "b", "h", "size", "words", "round", "shard").agg(F.count("*").alias("n"))
+        in_blocks(narrow).join(F.broadcast(cut), ["s", "b"]).groupBy("s", "b", "h", "size", "words", "round", "shard").agg(F.count("*").alias("n"))
         .groupBy("s", "b").applyInPandas(fitting, "s int, b int, h long, size long, round int, shard int")
     )
     edge = stage(edge, "mix-cut-blocks").select("s", "b", "h", "size", F.array(F.struct("round", "shard")).alias("part"))
     empty = F.array().cast("array<struct<round:int,shard:int>>")
-    planned = placed.join(F.broadcast(plan), ["s", "b"], "left").withColumn("whole", F.coalesce("whole", empty))
+    planned = in_blocks(rows).join(F.broadcast(plan), ["s", "b"], "left").withColumn("whole", F.coalesce("whole", empty))
     kept = [*rows.columns, "source_size", "target"]
     # only the rows of cut blocks, one block per source, meet the list of fitting documents
     inside = planned.where("is_cut is not true").select(*kept, F.col("whole").alias("copies"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sorterlog.llm import language, mixing, packing, quality, simhash, token_files, vector_dedup
 from sorterlog.llm.shared import crc_fold, read
-from sorterlog.sources.staging import new_folder
+from sorterlog.sources.staging import new_folder, stage
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,8 +49,8 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    rows = docs.select(F.col("doc_id").alias("key"), "source", mixing.word_count(F.col("text")).alias("size"))
-    return mixing.assign(rows).select(
+    rows = stage(docs.select(F.col("doc_id").alias("key"), "source", mixing.word_count(F.col("text")).alias("size")), "sizes")
+    return mixing.assign(rows, narrow=rows).select(
         F.col("key").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.size("copies")).alias("taken"),
     )
 
