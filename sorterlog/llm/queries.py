@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sorterlog.llm import language, mixing, packing, quality, simhash, token_files, vector_dedup
+from sorterlog.llm import language, mixing, nearest, packing, quality, simhash, token_files, vector_dedup
 from sorterlog.llm.shared import crc_fold, read
 from sorterlog.sources.staging import new_folder, stage
 
@@ -47,6 +47,10 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.top(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     rows = stage(docs.select(F.col("doc_id").alias("key"), "source", mixing.word_count(F.col("text")).alias("size")), "sizes")
@@ -56,6 +60,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op9_nearest": op9_nearest,
     "op4_vector_dedup": op4_vector_dedup,
     "op1_quality": op1_quality,
     "op2_packing": op2_packing,
