@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sorterlog.llm import language, mixing, nearest, packing, quality, simhash, token_files, vector_dedup
+from sorterlog.llm import language, licenses, mixing, nearest, packing, quality, simhash, token_files, vector_dedup
 from sorterlog.llm.shared import crc_fold, read
 from sorterlog.sources.staging import new_folder, stage
 
@@ -22,6 +22,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
 
 
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read(spark, sf_dir, "documents"))
+
+
 def op4_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_dedup.near_duplicates(read(spark, sf_dir, "embeddings"))
 
@@ -60,6 +64,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_licenses": op3_licenses,
     "op9_nearest": op9_nearest,
     "op4_vector_dedup": op4_vector_dedup,
     "op1_quality": op1_quality,
