@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sorterlog.llm import language, licenses, mixing, nearest, packing, quality, simhash, token_files, vector_dedup
+from sorterlog.llm import language, licenses, mixing, nearest, packing, pages, quality, simhash, token_files, vector_dedup
 from sorterlog.llm.shared import crc_fold, read
 from sorterlog.sources.staging import new_folder, stage
 
@@ -35,6 +35,11 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_back(manifest).select(F.col("key").alias("doc_id"), "start", "n_tokens", "ids_crc32")
 
 
+def op6_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = read(spark, sf_dir, "pages")
+    return pages.extract(table, pages.fit(table))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents")).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id",
@@ -64,6 +69,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op6_pages": op6_pages,
     "op3_licenses": op3_licenses,
     "op9_nearest": op9_nearest,
     "op4_vector_dedup": op4_vector_dedup,
