@@ -10,11 +10,11 @@ from sorterlog.session import configure  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = (
         configure(SparkSession.builder.master("local[4]").appName("tests"))
         .config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "4")
-        .config("spark.driver.memory", "4g").getOrCreate()
+        .config("spark.checkpoint.dir", tmp_path_factory.mktemp("staged").as_uri()).config("spark.driver.memory", "4g").getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
