@@ -271,16 +271,18 @@ def sort_reason_counts_with_null(spark, sf):
     return ct.ranked_counts(add_sort_reason(coded_lineitems(spark, sf)), "sortReason", keep_null=True)
 
 
+NAMED = [f"NATION_{k}_B" if k < 3 else f"NATION_{k}" for k in range(25) if k != 7]
+
+
 @query("reason_dest_pivot", f"""WITH {CODED_SQL}, {r.MAPPING_SQL}
-SELECT {r.reason_sql('code')} AS "sortReason",
-  count(*) FILTER (amazon = 'NATION_3') AS "NATION_3", count(*) FILTER (amazon = 'NATION_4') AS "NATION_4",
-  count(*) FILTER (amazon = 'NATION_0_B') AS "NATION_0_B"
+SELECT {r.reason_sql('code')} AS "sortReason", {", ".join(f"count(*) FILTER (amazon = '{n}') AS \"{n}\"" for n in NAMED)}
 FROM coded JOIN mapping ON mcid = id WHERE amazon IS NOT NULL GROUP BY 1 HAVING "sortReason" IS NOT NULL""")
 def reason_dest_pivot(spark, sf):
+    """Every named destination of the mapping is a column."""
     mapping = build_mapping(r.destination_mapping(spark, sf))
     named = add_destinations(add_sort_reason(coded_lineitems(spark, sf)), mapping)
     counts = ct.group_size(named, "sortReason", "Amazon_Destination")
-    return ct.pivot_counts(counts, "sortReason", "Amazon_Destination", columns=["NATION_3", "NATION_4", "NATION_0_B"])
+    return ct.pivot_counts(counts, "sortReason", "Amazon_Destination", columns=NAMED)
 
 
 @query("destination_enrichment", f"""WITH {CODED_SQL}, {r.MAPPING_SQL}
@@ -610,7 +612,7 @@ def interarrival(spark, sf):
 
 @query("interarrival_distribution", f"WITH {DIFF_SQL} SELECT event_type, diff AS time_diff FROM d WHERE diff IS NOT NULL")
 def interarrival_distribution(spark, sf):
-    return sp.collect_spacings(sp.interarrival_counts(typed_events(spark, sf), "event_type", "ts"), "event_type")
+    return sp.collect_spacings(typed_events(spark, sf), "event_type", "ts", "event_id")
 
 
 @query("interarrival_stats", f"""WITH {DIFF_SQL},
@@ -621,13 +623,25 @@ def interarrival_stats(spark, sf):
     return rounded(sp.spacing_stats(event_spacings(spark, sf), "event_type"), 4, "mean")
 
 
-@query("interarrival_histogram", f"""WITH {DIFF_SQL},
-b AS (SELECT event_type, greatest(CAST(ceil(diff / 60) AS BIGINT) - 1, 0) AS bin FROM d WHERE diff IS NOT NULL),
-m AS (SELECT event_type, CAST(floor((max(diff) + 60) / 60) AS BIGINT) - 1 AS last FROM d GROUP BY 1),
-e AS (SELECT event_type, unnest(generate_series(0, last)) AS bin FROM m)
-SELECT e.event_type, e.bin, CASE WHEN e.bin = 0 THEN -0.001 ELSE e.bin * 60.0::DOUBLE END AS bin_start, count(b.bin) AS "count"
-FROM e LEFT JOIN b ON e.event_type = b.event_type AND e.bin = b.bin GROUP BY 1, 2""")
+def histogram_sql(width_us: int) -> str:
+    """Right-closed bins of whole microseconds, 0 in the first one."""
+    return f"""WITH u AS (SELECT event_type, epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY event_type ORDER BY ts, event_id)) AS us FROM events),
+b AS (SELECT event_type, greatest((us + {width_us - 1}) // {width_us} - 1, 0) AS bin FROM u WHERE us IS NOT NULL),
+m AS (SELECT event_type, max(us) // {width_us} AS last FROM u WHERE us IS NOT NULL GROUP BY 1),
+e AS (SELECT event_type, unnest(generate_series(0, last)) AS bin FROM m),
+n AS (SELECT event_type, bin, count(*) AS n FROM b GROUP BY 1, 2)
+SELECT e.event_type, e.bin, CASE WHEN e.bin = 0 THEN -0.001 ELSE round(e.bin * {width_us / 1e6}::DOUBLE, 3) END AS bin_start, coalesce(n, 0) AS "count"
+FROM e LEFT JOIN n ON e.event_type = n.event_type AND e.bin = n.bin"""
+
+
+@query("interarrival_histogram", histogram_sql(280_000))
 def interarrival_histogram(spark, sf):
+    """The default width."""
+    return sp.fixed_width_histogram(event_spacings(spark, sf), "event_type")
+
+
+@query("interarrival_histogram_wide", histogram_sql(60_000_000))
+def interarrival_histogram_wide(spark, sf):
     return sp.fixed_width_histogram(event_spacings(spark, sf), "event_type", width=60.0)
 
 
@@ -635,9 +649,10 @@ def interarrival_histogram(spark, sf):
 m AS (SELECT event_type, min(diff) AS lo, max(diff) AS hi FROM d WHERE diff IS NOT NULL GROUP BY 1),
 b AS (SELECT d.event_type, least(CAST(floor((diff - lo) / (hi - lo) * 30) AS BIGINT), 29) AS bin FROM d JOIN m USING (event_type) WHERE diff IS NOT NULL),
 e AS (SELECT event_type, unnest(generate_series(0, 29)) AS bin FROM m)
-SELECT e.event_type, e.bin, count(b.bin) AS "count" FROM e LEFT JOIN b ON e.event_type = b.event_type AND e.bin = b.bin GROUP BY 1, 2""")
+SELECT e.event_type, e.bin, round(lo + e.bin * ((hi - lo) / 30), 4) AS bin_start, count(b.bin) AS "count"
+FROM e JOIN m ON e.event_type = m.event_type LEFT JOIN b ON e.event_type = b.event_type AND e.bin = b.bin GROUP BY 1, 2, 3""")
 def interarrival_chart_bins(spark, sf):
-    return sp.equal_width_histogram(event_spacings(spark, sf), "event_type", "time_diff", 30).drop("bin_start")
+    return rounded(sp.equal_width_histogram(event_spacings(spark, sf), "event_type", "time_diff", 30), 4, "bin_start")
 
 
 GAP_SQL = """
@@ -764,7 +779,8 @@ def numeric_columns(spark, sf):
     return co.numeric_where_possible(e.select(F.col("event_id").cast("string").alias("event_id"), "event_type", F.col("value").cast("string").alias("value")))
 
 
-@query("seeded_sample")
+@query("seeded_sample", """
+SELECT * FROM lineitem ORDER BY md5('42|' || l_orderkey || '|' || l_linenumber || '|' || l_partkey), l_orderkey, l_linenumber, l_partkey LIMIT 5000""")
 def seeded_sample(spark, sf):
-    """A sampling operator: rows with the smallest seeded hash, so there is no SQL to compare with."""
+    """A sampling operator: the rows with the smallest seeded md5."""
     return ct.seeded_sample(r.table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber", "l_partkey"], 5000)

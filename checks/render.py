@@ -104,8 +104,8 @@ types AS (
 def fix_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers' ids as a fix list with repeated ids and some that match nothing."""
     c = table(spark, sf_dir, "customer")
-    return c.where(F.col("c_custkey") % 5 == 0).select(
-        ((F.col("c_custkey") / 5).cast("bigint") % 53 * 9).cast("string").alias("id"),
+    return c.select(
+        (F.col("c_custkey") % 53 * 9).cast("string").alias("id"),
         F.when(F.col("c_custkey") % 3 != 0, F.col("c_mktsegment")).alias("comment"),
         F.col("c_custkey").alias(POSITION),
     )
@@ -113,10 +113,10 @@ def fix_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 FIX_SQL = """
 fixes AS (
-  SELECT lpad(CAST((c_custkey // 5) % 53 * 9 AS VARCHAR), 4, '0') AS id,
+  SELECT lpad(CAST(c_custkey % 53 * 9 AS VARCHAR), 4, '0') AS id,
          CASE WHEN c_custkey % 3 <> 0 THEN c_mktsegment ELSE '' END AS comment, c_custkey AS pos,
-         row_number() OVER (PARTITION BY (c_custkey // 5) % 53 ORDER BY c_custkey) AS k
-  FROM customer WHERE c_custkey % 5 = 0)"""
+         row_number() OVER (PARTITION BY c_custkey % 53 ORDER BY c_custkey) AS k
+  FROM customer)"""
 
 
 def log_record(stamp: Column, code: Column, sequence: Column, raw: Column) -> Column:

@@ -9,10 +9,6 @@ LOG_COLUMNS = [
     "timeStamp", "flag", "systemName", "ipAddress", "sender", "unkown", "unkown_2",
     "timeStampPLC", "mainCabinetName", "messageCode", "sequenceNo", "rawMessage",
 ]
-LOG_COLUMNS_NOTEBOOK = [
-    "timeStamp", "flag", "systemName", "ipAddress", "sender", "unkown", "unkown_2",
-    "PLCTimeStamp", "machineCode", "unitID", "sequenceNo", "rawMessage",
-]
 FLAT_EXPORT_COLUMNS = [
     "stamp_raw", "flag", "system", "hostport", "module", "unused1", "unused2", "run_hms",
     "seq", "mc", "code", "sq", "event", "awcsAction", "plcRecordNo", "itemID", "indexNo",

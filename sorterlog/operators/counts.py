@@ -32,10 +32,10 @@ def ranked_counts(df: DataFrame, key: str, keep_null: bool = False, out: str = "
 
 
 def shares(df: DataFrame, key: str, places: int = 2) -> DataFrame:
-    """Rows per value and their share of all non-null values in percent."""
-    counted = group_size(df, key)
-    total = counted.agg(F.sum("count")).scalar()
-    return counted.withColumn("percentage", percent(F.col("count"), total, places)).orderBy(F.desc("count"), key)
+    """Rows per value and their share of all non-null values in percent, from one pass over the rows."""
+    counted = group_size(df, key).withColumn("_all", F.lit(1))
+    total = F.sum("count").over(Window.partitionBy("_all"))
+    return counted.withColumn("percentage", percent(F.col("count"), total, places)).drop("_all").orderBy(F.desc("count"), key)
 
 
 def repeated_values(df: DataFrame, key: str, out: str = "count") -> DataFrame:
@@ -87,7 +87,7 @@ def with_remainder(counts: DataFrame, label: str, name: str, places: int) -> Dat
     )
 
 
-def numeric_profile(df: DataFrame, columns: Sequence[str], probs: Sequence[float] = (0.25, 0.5, 0.75), slices: int = 512) -> DataFrame:
+def numeric_profile(df: DataFrame, columns: Sequence[str], probs: Sequence[float] = (0.25, 0.5, 0.75), slices: int | None = None) -> DataFrame:
     """Count, mean, standard deviation, smallest, quantiles and largest per numeric column, one row each."""
     pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns])
     long = df.select(F.inline(pairs)).where(F.col("value").isNotNull() & ~F.isnan("value"))
@@ -144,20 +144,21 @@ def threshold_counts(df: DataFrame, groups: Mapping[str, Sequence[str]], thresho
 
 
 def seeded_sample(df: DataFrame, keys: Sequence[str], rows: int = fv.SAMPLE_ROWS, seed: int = fv.SAMPLE_SEED) -> DataFrame:
-    """Repeatable sample of `rows` rows: those with the smallest seeded hash of their keys.
+    """Repeatable sample of `rows` rows, all if there are fewer: those with the smallest md5 of the seed and their keys.
 
-    A smaller table is returned whole. Rows are thinned to slightly more than
-    wanted by a hash bound before the final sort, so no task sorts the table.
+    Rows are thinned to slightly more than wanted by a bound on the hash
+    before the final sort, so no task sorts the table.
     """
+    parts = [F.coalesce(F.col(k).cast("string") if not _nested(df, k) else F.to_json(k), F.lit("")) for k in keys]
+    ranked = df.withColumn("_rank", F.md5(F.concat_ws("|", F.lit(str(seed)), *parts)))
     total = df.count()
-    if total <= rows:
-        return df
-    rank = F.xxhash64(F.lit(seed), *[F.col(k) for k in keys])
-    ranked = df.withColumn("_rank", rank)
-    share = rows / total
-    bound = int(-(2**63) + 2**64 * min(1.0, share * 1.2 + 20.0 / total))
-    near = ranked.where(F.col("_rank") <= min(bound, 2**63 - 1))
-    if near.limit(rows).count() < rows:
+    share = min(1.0, (rows * 1.2 + 20.0) / max(total, 1))
+    bound = f"{int(share * 0xFFFFFFFF):08x}"
+    near = ranked.where(F.substring("_rank", 1, 8) <= bound)
+    if near.limit(rows).count() < min(rows, total):
         near = ranked
     return near.orderBy("_rank", *keys).limit(rows).drop("_rank")
 
+
+def _nested(df: DataFrame, name: str) -> bool:
+    return isinstance(df.schema[name].dataType, T.StructType)

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sorterlog import fixed_values as fv
 from sorterlog.functions.fields import zero_pad
+from sorterlog.operators.ordered import add_ordinal, slice_bases
 from sorterlog.operators.sizing import broadcast_if_small
 from sorterlog.sources.logs import ORDER
+from sorterlog.sources.staging import stage
 from sorterlog.sources.tables import POSITION
 
 EXPLANATION = "No Scan Defect Explanation"
@@ -18,11 +20,9 @@ EXPLANATION = "No Scan Defect Explanation"
 
 def listed_ids(fixes: DataFrame) -> DataFrame:
     """Fix list with padded ids and the running number `_k` of each repetition of an id."""
-    repeat = Window.partitionBy("_listed").orderBy(POSITION)
-    return (
-        fixes.withColumn("_listed", zero_pad("id")).where(F.col("_listed").isNotNull())
-        .select("_listed", F.coalesce("comment", F.lit("")).alias("_comment"), POSITION)
-        .withColumn("_k", F.row_number().over(repeat))
+    listed = fixes.withColumn("_listed", zero_pad("id")).where(F.col("_listed").isNotNull())
+    return add_ordinal(
+        listed.select("_listed", F.coalesce("comment", F.lit("")).alias("_comment"), POSITION), "_listed", POSITION, "_k"
     )
 
 
@@ -30,24 +30,22 @@ def matched_rows(df: DataFrame, fixes: DataFrame, index: str = "indexNo", code:
                  order: str = ORDER, codes: Sequence[int] = tuple(fv.SCAN_DEFECT_CODES)) -> DataFrame:
     """Row order keys that the list corrects: the k-th listing of an id takes its k-th scan defect.
 
-    Only as many candidates per id are needed as the most repeated id has
-    listings. That number is a literal, so each task keeps just its own first
-    candidates per id before the shuffle, however many rows share an id.
+    Candidates are counted per id and part of the input first. Of each id only
+    the parts that hold its first candidates, as many as it has listings, are
+    ranked, part by part, so no task ever holds all rows of an id.
     """
-    listed = listed_ids(fixes)
-    most = listed.agg(F.max("_k")).first()[0] or 0
-    ids = broadcast_if_small(listed.select("_listed").distinct())
-    rank = Window.partitionBy(index).orderBy(order)
+    listed = stage(listed_ids(fixes), "listed-ids")
+    wanted = listed.groupBy(F.col("_listed").alias("_index")).agg(F.count(F.lit(1)).alias("_listings"))
     candidates = (
-        df.where(F.col(code).isin(list(codes))).select(F.col(index), F.col(order))
-        .join(ids, F.col(index) == F.col("_listed"), "left_semi")
-        .withColumn("_k", F.row_number().over(rank)).where(F.col("_k") <= most)
+        df.where(F.col(code).isin(list(codes))).select(F.col(index).alias("_index"), F.col(order))
+        .join(broadcast_if_small(wanted.select("_index")), "_index", "left_semi")
     )
-    hits = candidates.withColumnRenamed(index, "_index").join(
-        broadcast_if_small(listed.withColumnRenamed("_k", "_lk")),
-        (F.col("_index") == F.col("_listed")) & (F.col("_k") == F.col("_lk")),
+    near = slice_bases(candidates, "_index", order).join(broadcast_if_small(wanted), "_index").where(F.col("_base") < F.col("_listings"))
+    ranked = add_ordinal(candidates, "_index", order, "_k", near)
+    hits = ranked.join(
+        listed.withColumnRenamed("_k", "_lk"), (F.col("_index") == F.col("_listed")) & (F.col("_k") == F.col("_lk")),
     )
-    return hits.select(F.col(order).alias("_hit"), "_listed", F.col("_comment"))
+    return stage(hits.select(F.col(order).alias("_hit"), "_listed", F.col("_comment")), "fix-hits")
 
 
 def fix_by_occurrence(df: DataFrame, fixes: DataFrame, index: str = "indexNo", code: str = "sortCode",

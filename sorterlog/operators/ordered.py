@@ -15,11 +15,39 @@ from collections.abc import Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sorterlog.functions.clock import MICROS, micros
 
 SLICE_SECONDS = 3600
 SLICE = "_slice"
+POINTS_PER_SLICE = 1_000_000
+
+
+def order_slice(df: DataFrame, order: str) -> Column:
+    """A part of the rows that holds a bounded number of them and grows with `order`.
+
+    File order keys are cut at the splits of the files, numbers at every POINTS_PER_SLICE.
+    """
+    kind = df.schema[order].dataType
+    if isinstance(kind, T.StructType):
+        return F.struct(F.col(order)["file"].alias("file"), F.col(order)["block"].alias("block"))
+    return F.floor(F.col(order) / POINTS_PER_SLICE)
+
+
+def slice_bases(df: DataFrame, key: str, order: str) -> DataFrame:
+    """For each (key, `_slice`) the number of rows of the key in earlier slices, `_base`."""
+    before = Window.partitionBy(key).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    totals = df.groupBy(key, order_slice(df, order).alias(SLICE)).agg(F.count(F.lit(1)).alias("_n"))
+    return totals.select(key, SLICE, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
+
+
+def add_ordinal(df: DataFrame, key: str, order: str, out: str, bases: DataFrame | None = None) -> DataFrame:
+    """Running number from 1 of the rows of a key in `order`; only rows whose slice is in `bases` are kept."""
+    bases = slice_bases(df, key, order) if bases is None else bases
+    inside = Window.partitionBy(key, SLICE).orderBy(order)
+    sliced = df.withColumn(SLICE, order_slice(df, order)).join(bases, [key, SLICE])
+    return sliced.withColumn(out, F.col("_base") + F.row_number().over(inside)).select(*df.columns, out)
 
 
 def time_slice(ts: str, seconds: int = SLICE_SECONDS) -> Column:
@@ -27,15 +55,17 @@ def time_slice(ts: str, seconds: int = SLICE_SECONDS) -> Column:
     return F.floor(micros(ts) / (seconds * MICROS)).cast("bigint")
 
 
-def with_value_slices(points: DataFrame, value: str, slices: int = 512) -> DataFrame:
-    """Cut a numeric column into slices of about equal row counts.
+def with_value_slices(points: DataFrame, value: str, slices: int | None = None) -> DataFrame:
+    """Cut a numeric column into slices of about equal row counts, by default of POINTS_PER_SLICE points each.
 
     The borders are approximate quantiles of the points, found in one pass and
     fixed as plan literals, so every use of the plan cuts at the same places.
-    Where the borders fall affects the balance only, never the result.
+    How many borders there are and where they fall affects the balance only, never the result.
     """
+    if slices is None:
+        slices = 1 + points.count() // POINTS_PER_SLICE
     probs = [i / slices for i in range(1, slices)]
-    found = points.approxQuantile(value, probs, 1.0 / (2 * slices))
+    found = points.approxQuantile(value, probs, 1.0 / (2 * slices)) if probs else []
     borders = sorted({b for b in found if b == b})
     if not borders:
         return points.withColumn(SLICE, F.lit(0).cast("bigint"))

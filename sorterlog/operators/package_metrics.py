@@ -9,7 +9,7 @@ from sorterlog import fixed_values as fv
 from sorterlog.functions.fields import defect_category, is_multi_read, is_no_read, normalised, sort_reason
 from sorterlog.operators.counts import group_size, pivot_counts, with_remainder
 from sorterlog.operators.lookup import add_destinations
-from sorterlog.operators.packages import PACKAGE, package_id, session_points
+from sorterlog.operators.packages import PACKAGE, at_sessions, package_id, session_points
 
 
 def scanner_metrics(packages: DataFrame) -> DataFrame:
@@ -80,18 +80,17 @@ def is_jackpot(code: str = "sortCode", jackpot: str = "Jackpot_Destination") ->
 
 def jackpot_packages(df: DataFrame, mapping: DataFrame, key: str = "itemID", ts: str = "timeStamp",
                      code: str = "sortCode", mcid: str = "requestedDestMCID",
-                     gap_seconds: float = fv.SESSION_GAP_SECONDS) -> DataFrame:
+                     gap_seconds: float = fv.SESSION_GAP_SECONDS, sessions: DataFrame | None = None) -> DataFrame:
     """Distinct (package, destination id) of success records to a jackpot destination.
 
     Only jackpot records meet the session numbers, which come from all records.
     """
     named = add_destinations(df.where(F.col(code) == 0), mapping, mcid)
     hits = named.where(is_jackpot(code) & F.col(key).isNotNull()).select(
-        F.col(key).alias("_k"), F.col(ts).alias("_t"), *fv.MAPPING_NAMES.values()
+        key, ts, *fv.MAPPING_NAMES.values()
     ).distinct()
-    points = session_points(df, key, ts, gap_seconds)
-    same = (F.col(key) == F.col("_k")) & F.col(ts).eqNullSafe(F.col("_t"))
-    return points.join(hits, same).select(
+    points = session_points(df, key, ts, gap_seconds) if sessions is None else sessions
+    return at_sessions(hits, points, "session", key=key, ts=ts, how="inner").select(
         package_id(key, "session").alias(PACKAGE), *fv.MAPPING_NAMES.values()
     ).distinct()
 

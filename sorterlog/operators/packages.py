@@ -54,13 +54,9 @@ def assign_sessions(df: DataFrame, key: str = "itemID", ts: str = "timeStamp",
     return df.join(points, same, "left").select(*df.columns, out)
 
 
-def assign_packages(df: DataFrame, key: str = "itemID", ts: str = "timeStamp", barcode: str = "barcodeAWCS",
-                    gap_seconds: float = fv.SESSION_GAP_SECONDS) -> DataFrame:
-    """Attach package id and package type to every row.
-
-    Both depend on (key, ts) alone: the type is worked out per package from
-    points and comes back with the session number in one join.
-    """
+def session_table(df: DataFrame, key: str = "itemID", ts: str = "timeStamp", barcode: str = "barcodeAWCS",
+                  gap_seconds: float = fv.SESSION_GAP_SECONDS) -> DataFrame:
+    """Session number and package type of every distinct (key, ts); written once, it serves all package operators."""
     points = df.where(F.col(key).isNotNull()).groupBy(key, ts).agg(
         F.min(is_no_read(barcode)).alias("_no"), F.min(is_multi_read(barcode)).alias("_multi")
     )
@@ -68,11 +64,26 @@ def assign_packages(df: DataFrame, key: str = "itemID", ts: str = "timeStamp", b
     types = numbered.groupBy(key, "session").agg(
         package_type(F.min("_no"), F.min("_multi")).alias("pkg_type")
     )
-    labelled = numbered.join(types, [key, "session"]).select(
-        F.col(key).alias("_k"), F.col(ts).alias("_t"), package_id(key, "session").alias(PACKAGE), "pkg_type"
-    )
+    return numbered.join(types, [key, "session"]).select(key, ts, "session", "pkg_type")
+
+
+def at_sessions(df: DataFrame, sessions: DataFrame, *columns: Column | str, key: str = "itemID", ts: str = "timeStamp", how: str = "left") -> DataFrame:
+    """Columns of `session_table` joined to the rows of the same (key, ts)."""
+    found = sessions.select(F.col(key).alias("_k"), F.col(ts).alias("_t"), *columns)
     same = (F.col(key) == F.col("_k")) & F.col(ts).eqNullSafe(F.col("_t"))
-    return df.join(labelled, same, "left").select(*df.columns, PACKAGE, "pkg_type")
+    return df.join(found, same, how).drop("_k", "_t")
+
+
+def assign_packages(df: DataFrame, key: str = "itemID", ts: str = "timeStamp", barcode: str = "barcodeAWCS",
+                    gap_seconds: float = fv.SESSION_GAP_SECONDS, sessions: DataFrame | None = None) -> DataFrame:
+    """Attach package id and package type to every row.
+
+    Both depend on (key, ts) alone: the type is worked out per package from
+    points and comes back with the session number in one join.
+    """
+    sessions = session_table(df, key, ts, barcode, gap_seconds) if sessions is None else sessions
+    labelled = at_sessions(df, sessions, package_id(key, "session").alias(PACKAGE), "pkg_type", key=key, ts=ts)
+    return labelled.select(*df.columns, PACKAGE, "pkg_type")
 
 
 def package_table(
@@ -85,6 +96,7 @@ def package_table(
     label_code: str | None = None,
     order: str = ORDER,
     gap_seconds: float = fv.SESSION_GAP_SECONDS,
+    sessions: DataFrame | None = None,
 ) -> DataFrame:
     """One row per package with all that package metrics need.
 
@@ -106,7 +118,10 @@ def package_table(
         F.min(row).alias("_first"),
         F.min(F.when(~recirc, row)).alias("_kept"),
     )
-    numbered = add_session_number(points, key, ts, gap_seconds, "session")
+    if sessions is None:
+        numbered = add_session_number(points, key, ts, gap_seconds, "session")
+    else:
+        numbered = at_sessions(points, sessions, "session", key=key, ts=ts, how="inner")
     when = F.struct(F.col(ts).isNull(), F.col(ts))
     packages = numbered.groupBy(key, "session").agg(
         F.sum("_n").alias("records"),

@@ -30,7 +30,7 @@ def value_counts_of(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFr
 
 
 def at_ranks(counts: DataFrame, value: str, ranks: Mapping[str, Column], by: Sequence[str] = (),
-             slices: int = 512) -> DataFrame:
+             slices: int | None = None) -> DataFrame:
     """Values at 0-based ranks per group, one column per entry of `ranks`.
 
     `counts` holds unique (by, value) with weight `_w`. A rank is an expression
@@ -72,7 +72,7 @@ def at_ranks(counts: DataFrame, value: str, ranks: Mapping[str, Column], by: Seq
 
 
 def quantiles(counts: DataFrame, value: str, probs: Mapping[str, float], by: Sequence[str] = (),
-              slices: int = 512) -> DataFrame:
+              slices: int | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation between neighbouring ranks."""
     ranks: dict[str, Column] = {}
     for i, p in enumerate(probs.values()):
@@ -90,10 +90,10 @@ def quantiles(counts: DataFrame, value: str, probs: Mapping[str, float], by: Seq
     return found.select(*by, *[interpolated(i).alias(n) for i, n in enumerate(probs)])
 
 
-def upper_median(counts: DataFrame, value: str, by: Sequence[str], out: str = "median", slices: int = 512) -> DataFrame:
+def upper_median(counts: DataFrame, value: str, by: Sequence[str], out: str = "median", slices: int | None = None) -> DataFrame:
     """Value at place n // 2 of the sorted values, the upper of two middle ones."""
     return at_ranks(counts, value, {out: F.floor(F.col("_total") / 2)}, by, slices).drop("_total")
 
 
-def median(counts: DataFrame, value: str, slices: int = 512) -> DataFrame:
+def median(counts: DataFrame, value: str, slices: int | None = None) -> DataFrame:
     return quantiles(counts, value, {"median": 0.5}, (), slices)

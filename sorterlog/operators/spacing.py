@@ -2,21 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sorterlog import fixed_values as fv
-from sorterlog.functions.clock import seconds_between
+from sorterlog.functions.clock import MICROS, seconds_between
 from sorterlog.operators.ordered import SLICE, add_previous, time_slice, with_value_slices
-from sorterlog.operators.quantiles import WEIGHT, median, upper_median, value_counts_of
+from sorterlog.operators.quantiles import WEIGHT, median, quantiles, upper_median, value_counts_of
 from sorterlog.operators.sizing import broadcast_if_small
 from sorterlog.sources.logs import ORDER
 from sorterlog.sources.staging import stage
 
-MAX_EDGES = 100_000
+BINS_PER_TASK = 10_000
 
 
 def _time_points(df: DataFrame, by: str, ts: str, *extra: Column) -> DataFrame:
@@ -58,7 +57,7 @@ def interarrival_counts(df: DataFrame, by: str, ts: str = "timeStamp", out: str
     )
 
 
-def spacing_stats(counts: DataFrame, by: str, value: str = "time_diff", slices: int = 512) -> DataFrame:
+def spacing_stats(counts: DataFrame, by: str, value: str = "time_diff", slices: int | None = None) -> DataFrame:
     """Count, mean, smallest, largest and upper median per destination."""
     counts = stage(counts, "spacings")
     basic = counts.groupBy(by).agg(
@@ -70,41 +69,25 @@ def spacing_stats(counts: DataFrame, by: str, value: str = "time_diff", slices:
     return basic.join(upper_median(counts, value, [by], "median", slices), by)
 
 
-def added_edges(width: float, upper: float) -> list[float]:
-    """Bin edges by repeated addition, from 0 to the first edge beyond `upper` + `width`, without it."""
-    edges, edge = [], 0.0
-    while edge <= upper + width:
-        edges.append(edge)
-        edge += width
-    return edges
-
-
 def fixed_width_histogram(counts: DataFrame, by: str, value: str = "time_diff",
                           width: float = fv.SPACING_BIN_SECONDS) -> DataFrame:
     """Counts per right-closed bin; 0 belongs to the first bin; empty bins up to the largest value count 0.
 
-    Up to 100,000 edges are laid by repeated addition, so values on an edge
-    fall as they would by hand. Longer ranges compute the bin by division.
+    Values and width are whole microseconds, so edges are exact multiples of
+    the width and a group's bins do not depend on other groups. Bin numbers are
+    laid out in two steps, so that a long range is spread over many tasks.
     """
     counts = stage(counts, "spacings")
-    tops = counts.groupBy(by).agg((F.max(value) + width).alias("_reach"))
-    upper = tops.agg(F.max("_reach")).first()[0]
-    usable = counts.where(F.col(value) >= 0)
-    if upper is not None and upper / width <= MAX_EDGES:
-        edges = added_edges(width, upper)
-        # Bucketizer bins are left-closed; on negated values they are right-closed.
-        flipped = [float("-inf"), *[-e for e in reversed(edges)], float("inf")]
-        cut = Bucketizer(splits=flipped, inputCol="_neg", outputCol="_flipped")
-        binned = cut.transform(usable.withColumn("_neg", -F.col(value))).withColumn(
-            "bin", F.greatest(F.lit(len(edges) - 1) - F.col("_flipped"), F.lit(0)).cast("bigint")
-        )
-        ends = Bucketizer(splits=[*edges, float("inf")], inputCol="_reach", outputCol="_bins").transform(tops)
-    else:
-        binned = usable.withColumn("bin", F.greatest(F.ceil(F.col(value) / width) - 1, F.lit(0)).cast("bigint"))
-        ends = tops.withColumn("_bins", F.floor(F.col("_reach") / width))
-    filled = binned.groupBy(by, "bin").agg(F.sum(WEIGHT).alias("n"))
-    last = F.greatest(F.col("_bins") - 1, F.lit(0)).cast("bigint")
-    every = ends.select(by, F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("bin"))
+    step = round(width * MICROS)
+    exact = counts.withColumn("_us", F.round(F.col(value) * MICROS).cast("bigint"))
+    filled = (
+        exact.where(F.col("_us") >= 0).withColumn("bin", F.greatest(F.expr(f"(_us + {step - 1}) div {step} - 1"), F.lit(0).cast("bigint")))
+        .groupBy(by, "bin").agg(F.sum(WEIGHT).alias("n"))
+    )
+    last = exact.groupBy(by).agg(F.greatest(F.max(F.expr(f"_us div {step}")), F.lit(0).cast("bigint")).alias("_last"))
+    first_of = F.sequence(F.lit(0).cast("bigint"), F.col("_last"), F.lit(BINS_PER_TASK).cast("bigint"))
+    parts = last.select(by, "_last", F.explode(first_of).alias("_from")).repartition(by, "_from")
+    every = parts.select(by, F.explode(F.sequence(F.col("_from"), F.least("_last", F.col("_from") + (BINS_PER_TASK - 1)))).alias("bin"))
     # The first bin is labelled just below 0 because it includes 0.
     start = F.when(F.col("bin") == 0, F.lit(-0.001)).otherwise(F.round(F.col("bin") * width, 3))
     return every.join(filled, [by, "bin"], "left").select(
@@ -112,7 +95,7 @@ def fixed_width_histogram(counts: DataFrame, by: str, value: str = "time_diff",
     )
 
 
-def position_gaps(df: DataFrame, by: str, position: str, slices: int = 512, out: str = "gap") -> DataFrame:
+def position_gaps(df: DataFrame, by: str, position: str, slices: int | None = None, out: str = "gap") -> DataFrame:
     """How often each gap between neighbouring positions of a group occurs, as (by, out, `_w`).
 
     Positions are taken in their own order; the first of a group has no gap.
@@ -126,7 +109,7 @@ def position_gaps(df: DataFrame, by: str, position: str, slices: int = 512, out:
     return spread.where(F.col(out).isNotNull() & (F.col(WEIGHT) > 0)).groupBy(by, out).agg(F.sum(WEIGHT).alias(WEIGHT))
 
 
-def auto_scale(counts: DataFrame, value: str = "gap", slices: int = 512) -> DataFrame:
+def auto_scale(counts: DataFrame, value: str = "gap", slices: int | None = None) -> DataFrame:
     """Bring values to millimetres by their median: above 100 they are micrometres, above 10 tenths."""
     counts = stage(counts, "gaps")
     found = median(counts, value, slices).first()
@@ -183,6 +166,20 @@ def equal_width_histogram(counts: DataFrame, by: str, value: str, bins: int) ->
     )
 
 
-def collect_spacings(counts: DataFrame, by: str, value: str = "time_diff") -> DataFrame:
+def describe(counts: DataFrame, value: str, probs: Mapping[str, float], slices: int | None = None) -> DataFrame:
+    """Count, mean, standard deviation, smallest, quantiles and largest of all weighted values, one row."""
+    counts = stage(counts.groupBy(value).agg(F.sum(WEIGHT).alias(WEIGHT)), "value-counts")
+    n = F.sum(WEIGHT)
+    basic = counts.agg(n.alias("count"), (F.sum(F.col(value) * F.col(WEIGHT)) / n).alias("mean"), F.min(value).alias("min"), F.max(value).alias("max")).first()
+    apart = F.col(value) - F.lit(basic["mean"]).cast("double")
+    std = counts.agg(F.when(n > 1, F.sqrt(F.sum(apart * apart * F.col(WEIGHT)) / (n - 1))).alias("std")).first()["std"]
+    one = {"count": basic["count"] or 0, "mean": basic["mean"], "std": std, "min": basic["min"], "max": basic["max"]}
+    kinds = {"count": "bigint"}
+    return quantiles(counts, value, probs, (), slices).select(
+        *[F.lit(one[c]).cast(kinds.get(c, "double")).alias(c) for c in ("count", "mean", "std", "min")], *probs, F.lit(one["max"]).cast("double").alias("max"),
+    )
+
+
+def collect_spacings(df: DataFrame, by: str, ts: str = "timeStamp", order: str = ORDER, out: str = "time_diff") -> DataFrame:
     """Inter-arrival times in long form, one row each; repeated values are repeated rows."""
-    return counts.select(by, value, F.explode(F.array_repeat(F.lit(1), F.col(WEIGHT).cast("int"))).alias("_one")).drop("_one")
+    return interarrival(df, by, ts, order, out).where(F.col(out).isNotNull()).select(by, out)

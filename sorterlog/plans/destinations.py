@@ -67,7 +67,7 @@ def bypass_spacing(
     counts = stage(sp.interarrival_counts(bypass, name), "bypass-spacings")
     return {
         "raw_data": sp.interarrival(bypass, name),
-        "distributions": sp.collect_spacings(counts, name),
+        "distributions": sp.collect_spacings(bypass, name),
         "stats": sp.spacing_stats(counts, name),
         "histogram": sp.fixed_width_histogram(counts, name, width=width),
         "chart_histogram": sp.equal_width_histogram(counts, name, "time_diff", 30),

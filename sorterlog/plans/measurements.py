@@ -17,7 +17,7 @@ from sorterlog.operators.counts import (
     text_columns,
     threshold_counts,
 )
-from sorterlog.operators.quantiles import WEIGHT, quantiles
+from sorterlog.operators.quantiles import quantiles
 from sorterlog.plans.messages import records_of, with_payload
 from sorterlog.plans.result import Tables
 from sorterlog.sources.logs import ORDER
@@ -39,14 +39,13 @@ def item_measurements(
     inductions: list[str] | None = None,
     sample_rows: int | None = None,
     prune: bool = False,
-    slices: int = 512,
+    slices: int | None = None,
 ) -> Tables:
     """Profiles, threshold counts and gap distributions of measured items."""
     rows = stage(measurement_rows(logs), "measurements")
     clean = drop_constant_columns(rows, all_null=True, protect=[*fv.MEASUREMENT_KEYS, "timeStamp"]) if prune else rows
     complete = clean.dropna(subset=MEASURES)
-    if sample_rows is not None:
-        complete = seeded_sample(complete, [ORDER], sample_rows)
+    points = complete if sample_rows is None else seeded_sample(complete, [ORDER], sample_rows)
     chosen = fv.AUTO_INDUCTIONS if inductions is None else inductions
     lines = clean.where(F.col("inductionNo").isin(chosen))
     probs = {quantile_name(p): p for p in fv.GAP_QUANTILES}
@@ -59,11 +58,11 @@ def item_measurements(
             "width_position": ["width", "positionFront"],
             "all": MEASURES,
         }),
-        "points": lambda: complete.select(*MEASURES, "noOfCarriers"),
+        "points": lambda: points.select(*MEASURES, "noOfCarriers"),
         "gaps": lambda: stage(sp.position_gaps(lines, "inductionNo", "positionFront", slices), "gaps"),
         "gap_counts": lambda: sp.bin_matrix(sp.auto_scale(tables["gaps"], "gap", slices), "inductionNo"),
-        "gap_quantiles": lambda: quantiles(
-            tables["gaps"].groupBy("gap").agg(F.sum(WEIGHT).alias(WEIGHT)), "gap", probs, (), slices),
+        "gap_quantiles": lambda: tables["gap_description"].select(*probs),
+        "gap_description": lambda: sp.describe(tables["gaps"], "gap", probs, slices),
         "gap_histogram": lambda: sp.equal_width_histogram(tables["gaps"], "inductionNo", "gap", 50),
         "gap_quartiles": lambda: quantiles(
             tables["gaps"], "gap", {"p25": 0.25, "p50": 0.5, "p75": 0.75}, ["inductionNo"], slices),

@@ -16,7 +16,7 @@ from sorterlog.operators.columns import drop_constant_columns
 from sorterlog.operators.counts import group_size, pivot_counts, ranked_counts, repetition_profile
 from sorterlog.operators.fixes import fix_by_membership, fix_by_occurrence, scan_defects, unapplied_ids
 from sorterlog.operators.lookup import add_destinations, add_sort_reason, build_mapping
-from sorterlog.operators.packages import assign_packages, package_table
+from sorterlog.operators.packages import assign_packages, package_table, session_table
 from sorterlog.operators.timewindow import between, resolve_window
 from sorterlog.plans.messages import first_elements, records_of, sort_report_messages, staged_sort_reports, with_payload
 from sorterlog.plans.result import Tables
@@ -44,21 +44,22 @@ def s04_analysis(
     codes either way.
 
     The pivot has the given destination names as columns, or those that occur,
-    which costs a pass to find them. The text is parsed once into a staged table and packages are formed once
-    into another; every result reads one of the two.
+    which costs a pass to find them. The text is parsed once into a staged table, sessions are formed once into
+    another, and packages into a third; every result reads these.
     """
     dim = build_mapping(mapping)
     messages, rows = staged_sort_reports(logs)
     window = resolve_window(rows, start, end, minutes, full)
     typed = window.rows.withColumn(LABEL_CODE, F.col("sortCode"))
-    fixed = fix_by_occurrence(typed, fixes) if fixes is not None else typed
+    fixed = stage(fix_by_occurrence(typed, fixes), "corrected") if fixes is not None else typed
     label = "sortCode" if relabel else LABEL_CODE
 
-    packages = stage(package_table(fixed, label_code=label), "packages")
+    sessions = stage(session_table(fixed), "sessions")
+    packages = stage(package_table(fixed, label_code=label, sessions=sessions), "packages")
 
     def window_data() -> DataFrame:
         labelled = fixed.withColumn("sortReason", sort_reason(label)).withColumn("defectCategory", defect_category("sortReason"))
-        return assign_packages(add_destinations(labelled, dim)).drop(LABEL_CODE)
+        return assign_packages(add_destinations(labelled, dim), sessions=sessions).drop(LABEL_CODE)
 
     tables: Tables = Tables({
         "summary": lambda: pm.run_summary(messages, packages),
@@ -68,7 +69,7 @@ def s04_analysis(
         "reason_dest_pivot": lambda: pm.reason_destination_pivot(tables["reason_dest_summary"], columns=pivot_destinations),
         "recirculation": lambda: pm.recirculation_count(packages),
         "defect_metrics": lambda: pm.defect_metrics(packages),
-        "jackpots": lambda: pm.jackpot_packages(fixed, dim),
+        "jackpots": lambda: pm.jackpot_packages(fixed, dim, sessions=sessions),
         "jackpot_metrics": lambda: pm.jackpot_metrics(tables["jackpots"]),
         "jackpot_total": lambda: pm.jackpot_total(tables["jackpots"]),
         "scan_defects": lambda: scan_defects(fixed),
@@ -96,7 +97,7 @@ def s04_barcode_analysis(
     if prune:
         rows = drop_constant_columns(rows, protect=["sortCode", "indexNo", "timeStamp", "barcodeAWCS"])
     window = resolve_window(rows, start, end, minutes, full)
-    fixed = fix_by_occurrence(window.rows, fixes) if fixes is not None else window.rows
+    fixed = stage(fix_by_occurrence(window.rows, fixes), "corrected") if fixes is not None else window.rows
     names = {n: fv.MAPPING_NAMES[n] for n in ("Amazon", "Beumer")}
     labelled = add_sort_reason(fixed)
     named = add_destinations(labelled, build_mapping(mapping), names=names)

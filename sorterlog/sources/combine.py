@@ -2,64 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from sorterlog.sources.logs import ORDER, line_order, read_lines
+from sorterlog.sources.headed import read_headed
 
 
 def combine_logs(spark: SparkSession, directory: str, suffix: str = "*.log") -> DataFrame:
     """Union of all logs of a directory over the union of their columns.
 
-    Files may differ in their header. One narrow pass finds the header of each
-    file; the files of each distinct header are then read together, so the
-    plan has one scan per header, not one per file. Lines with more fields
-    than their header are skipped. `source_file` holds the base name.
+    Files may differ in their header. Lines with more fields than their header
+    are skipped. `source_file` holds the base name.
     """
-    path = f"{directory.rstrip('/')}/{suffix}"
-    groups: dict[str, list[str]] = {}
-    for row in file_headers(spark, path).toLocalIterator():
-        groups.setdefault(row["header"], []).append(row["file"])
-    if not groups:
-        raise ValueError(f"no readable log file matches {path}")
-    parts = [_read_group(spark, header, sorted(files)) for header, files in sorted(groups.items())]
-    combined = parts[0]
-    for part in parts[1:]:
-        combined = combined.unionByName(part, allowMissingColumns=True)
-    names = [c for c in combined.columns if c not in ("source_file", ORDER)]
-    return combined.select(*names, "source_file", ORDER)
-
-
-def file_headers(spark: SparkSession, path: str) -> DataFrame:
-    """First non-blank line per file. One row per file, as many as the listing holds."""
-    lines = read_lines(spark, path, skip_unreadable=True).withColumn("_line", F.monotonically_increasing_id()).where((F.trim("value") != "") & (F.col("_block") == 0))
-    # File paths in metadata are percent-encoded.
-    name = F.url_decode(F.replace(F.col("_file"), F.lit("+"), F.lit("%2B")))
-    return lines.groupBy(name.alias("file")).agg(
-        F.min_by("value", "_line").alias("header")
-    )
-
-
-def _read_group(spark: SparkSession, header: str, files: list[str]) -> DataFrame:
-    names = [n.strip().strip('"') for n in header.split(";")]
-    # Escape glob characters: file names are literal here.
-    literal = [_escape_glob(f) for f in files]
-    lines = read_lines(spark, literal, skip_unreadable=True).where((F.trim("value") != "") & (F.col("value") != header))
-    parsed = lines.where(_field_count(F.col("value")) <= len(names)).select(
-        F.from_csv("value", _ddl(names), {"sep": ";", "escape": '"'}).alias("r"),
-        "source_file", line_order(),
-    )
-    return parsed.select("r.*", "source_file", ORDER)
-
-
-def _ddl(names: list[str]) -> str:
-    return ", ".join(f"`{n.replace('`', '``')}` STRING" for n in names)
-
-
-def _field_count(line: Column) -> Column:
-    unquoted = F.regexp_replace(line, '"[^"]*"', "")
-    return F.size(F.split(unquoted, ";"))
-
-
-def _escape_glob(path: str) -> str:
-    return "".join("\\" + ch if ch in "*?[]{}\\" else ch for ch in path)
+    return read_headed(spark, f"{directory.rstrip('/')}/{suffix}", skip_unreadable=True, drop_long=True)

@@ -10,11 +10,13 @@ from __future__ import annotations
 
 import atexit
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 _written: list[tuple[SparkSession, str]] = []
+_tables: weakref.WeakSet[DataFrame] = weakref.WeakSet()
 
 
 def staging_folder(spark: SparkSession) -> str:
@@ -36,10 +38,14 @@ def new_folder(spark: SparkSession, name: str) -> str:
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write `df` once and return the written table."""
+    """Write `df` once and return the written table; a table that `stage` returned is returned as it is."""
+    if df in _tables:
+        return df
     path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    _tables.add(table)
+    return table
 
 
 def remove_staged(keep: int = 0) -> None:

@@ -2,17 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-POSITION = "_pos"
 
+from sorterlog.sources.headed import read_headed
+from sorterlog.sources.logs import ORDER
 
-def _strings(names: Sequence[str]) -> T.StructType:
-    return T.StructType([T.StructField(n, T.StringType()) for n in names])
+POSITION = "_pos"
 
 
 def read_csv_table(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
@@ -24,25 +20,8 @@ def read_csv_table(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
 
 
 def read_alarm_history(spark: SparkSession, path: str) -> DataFrame:
-    """Alarm history: a banner line, then a ';' header, then rows.
-
-    The CSV reader drops the first line of each file, which is the banner; the
-    header line then shows up as a row that repeats the column names.
-    """
-    names = [c.strip() for c in _second_line(spark, path).split(";")]
-    names = [n.strip('"') for n in names]
-    rows = spark.read.csv(path, schema=_strings(names), sep=";", header=True, escape='"', enforceSchema=True)
-    is_header = F.lit(True)
-    for name in names:
-        is_header = is_header & F.trim(F.col(f"`{name}`")).eqNullSafe(F.lit(name or None))
-    return rows.where(~is_header)
-
-
-def _second_line(spark: SparkSession, path: str) -> str:
-    head = spark.read.text(path).head(2)
-    if len(head) < 2:
-        raise ValueError(f"no header line below the banner in {path}")
-    return head[1]["value"]
+    """Alarm history: a banner line, then a ';' header, then rows; each file is read by its own header."""
+    return read_headed(spark, path, place=1).drop("source_file", ORDER)
 
 
 def read_mapping(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
@@ -50,16 +29,19 @@ def read_mapping(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
     from sorterlog.operators.columns import trim_all
 
     raw = read_csv_table(spark, path) if fmt == "csv" else spark.read.format(fmt).load(path)
-    text = raw.select([F.col(f"`{c}`").cast("string").alias(c) for c in raw.columns])
-    return with_position(trim_all(text))
+    text = raw.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in raw.columns], position_of_row())
+    return trim_all(text, raw.columns)
 
 
 def read_fix_list(spark: SparkSession, path: str) -> DataFrame:
     """List of ids to correct: the first column is the id, the second its comment."""
     raw = read_csv_table(spark, path)
     first, second = raw.columns[:2]
-    return with_position(raw.select(F.col(f"`{first}`").alias("id"), F.col(f"`{second}`").alias("comment")))
+    return raw.select(F.col(f"`{first}`").alias("id"), F.col(f"`{second}`").alias("comment"), position_of_row())
 
 
-def with_position(df: DataFrame) -> DataFrame:
-    return df.withColumn(POSITION, F.monotonically_increasing_id())
+def position_of_row() -> Column:
+    """Sort key of a row over all files of a source: file name, start of the split, running id inside it."""
+    return F.struct(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"),
+    ).alias(POSITION)

@@ -2,6 +2,7 @@
 
 from datetime import datetime, timedelta
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -193,6 +194,9 @@ def test_item_measurements(logs):
     assert t["threshold_counts"].first()["all_in"] == 10
     assert sum(r["count"] for r in t["gap_histogram"].collect()) == 8
     assert t["gap_quantiles"].first()["p50"] == pytest.approx(0.5)
+    gaps = pd.Series([r["gap"] for r in t["gaps"].collect() for _ in range(r["_w"])])
+    found = t["gap_description"].first()
+    assert [found[c] for c in ("count", "mean", "std", "min", "p50", "max")] == pytest.approx(gaps.describe()[["count", "mean", "std", "min", "50%", "max"]].tolist())
 
 
 def test_carrier_alarms(spark):

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sorterlog.operators import alarms as al
 from sorterlog.operators import counts as ct
 from sorterlog.operators import fixes as fx
+from sorterlog.operators import ordered
 from sorterlog.operators import package_metrics as pm
 from sorterlog.operators import quantiles as qu
 from sorterlog.operators import rates as ra
@@ -94,21 +95,36 @@ def test_interarrival_matches_a_sorted_scan(spark):
         assert stats[k] == (len(v), round(sum(v) / len(v), 6), v[0], v[-1], v[len(v) // 2])
 
 
-def test_fixed_width_histogram_matches_pandas_cut(spark):
+def test_fixed_width_histogram_has_exact_edges(spark):
     rng = np.random.default_rng(3)
     values = [0.0, 0.28, 0.56, 0.84, 2.8, 14.0, 28.0] + [round(float(x), 2) for x in rng.random(300) * 40]
-    values += [0.28 * i for i in range(1, 100)]
+    values += [round(0.28 * i, 6) for i in range(1, 100)]
     df = spark.createDataFrame([("a", v) for v in values] + [("b", 0.0)], "k string, v double")
     got = sp.fixed_width_histogram(qu.value_counts_of(df, "v", ["k"]), "k", "v")
-    edges, e = [], 0
-    while e <= max(values) + 0.28:
-        edges.append(e)
-        e += 0.28
-    want = pd.cut(pd.Series(values), bins=edges, include_lowest=True).value_counts(sort=False).sort_index()
+    micros = pd.Series([round(v * 1_000_000) for v in values])
+    edges = [280_000 * i for i in range(int(micros.max()) // 280_000 + 2)]
+    want = pd.cut(micros, bins=edges, include_lowest=True).value_counts(sort=False).sort_index()
     a = got.where("k = 'a'").orderBy("bin").collect()
     assert [r["count"] for r in a] == want.tolist()
-    assert [r["bin_start"] for r in a] == pytest.approx([i.left for i in want.index])
-    assert [(r["bin"], r["count"]) for r in got.where("k = 'b'").collect()] == [(0, 1)]
+    assert [r["bin_start"] for r in a][1:] == pytest.approx([e / 1_000_000 for e in edges[1:-1]])
+    assert [(r["bin"], r["bin_start"], r["count"]) for r in got.where("k = 'b'").collect()] == [(0, -0.001, 1)]
+
+
+def test_an_outlier_elsewhere_leaves_bins_unchanged(spark):
+    values = [("A", round(0.28 * i, 2)) for i in range(2000)]
+    seen = []
+    for longest in (100.0, 28_001.0):
+        df = spark.createDataFrame(values + [("B", longest)], "k string, v double")
+        got = sp.fixed_width_histogram(qu.value_counts_of(df, "v", ["k"]), "k", "v")
+        seen.append(rows(got.where("k = 'A'")))
+        assert got.where("k = 'B'").agg(F.sum("count"), F.max("bin")).first() == (1, int(longest * 1_000_000) // 280_000)
+    assert seen[0] == seen[1]
+
+
+def test_heavy_weights_are_never_rows(spark):
+    counts = spark.createDataFrame([("a", 0.0, 3_000_000_000), ("a", 0.5, 1)], "k string, time_diff double, _w bigint")
+    assert [tuple(r) for r in sp.spacing_stats(counts, "k").collect()][0][1] == 3_000_000_001
+    assert rows(sp.fixed_width_histogram(counts, "k").select("bin", "count")) == [(0, 3_000_000_000), (1, 1)]
 
 
 def test_equal_width_histogram_matches_numpy(spark):
@@ -120,7 +136,7 @@ def test_equal_width_histogram_matches_numpy(spark):
     assert [r["count"] for r in got.where("k = 'b'").orderBy("bin").collect()] == np.histogram([5.0], bins=50)[0].tolist()
 
 
-@pytest.mark.parametrize("slices", [2, 7, 512])
+@pytest.mark.parametrize("slices", [1, 2, 7, 512, None])
 def test_quantiles_match_pandas(spark, slices):
     rng = np.random.default_rng(5)
     pdf = pd.DataFrame({"k": rng.choice(["a", "b", "c"], 900, p=[0.9, 0.09, 0.01]), "v": rng.integers(0, 200, 900) / 7.0})
@@ -193,10 +209,16 @@ def test_fix_by_membership(spark):
     assert got == [(0, ""), (0, ""), (9, ""), (0, ""), (8, "")]
 
 
-def test_fix_ranking_limits_rows_before_the_shuffle(spark):
-    df, fixes = fix_tables(spark)
-    plan = fx.matched_rows(df, fixes)._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in plan
+@pytest.mark.parametrize("points", [7, 1_000_000])
+def test_fix_of_an_id_listed_very_often(spark, monkeypatch, points):
+    monkeypatch.setattr(ordered, "POINTS_PER_SLICE", points)
+    fixes = spark.createDataFrame([("7", f"c{i}", i) for i in range(1500)] + [("8", "x", 1500)], "id string, comment string, _pos bigint")
+    df = spark.createDataFrame([("0007", 8, i * 3) for i in range(2000)] + [("0008", 9, 1)], "indexNo string, sortCode bigint, _ord bigint")
+    fixed = {r["_ord"]: (r["sortCode"], r[fx.EXPLANATION]) for r in fx.fix_by_occurrence(df, fixes).collect()}
+    assert fixed == {i * 3: (0, f"c{i}") if i < 1500 else (8, "") for i in range(2000)} | {1: (0, "x")}
+    plan = ordered.add_ordinal(df, "indexNo", "_ord", "k")._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "row_number" in line and "Window" in line]
+    assert windows and all("_slice" in w.split("windowspec")[-1] or "_slice" in w for w in windows)
 
 
 def test_windows(spark):
@@ -293,7 +315,7 @@ def test_seeded_sample_is_exact_and_repeatable(spark):
     df = spark.range(20000).toDF("n")
     a, b = (ct.seeded_sample(df, ["n"], 500, seed=7) for _ in range(2))
     assert a.count() == 500 and rows(a) == rows(b)
-    whole = df.orderBy(F.xxhash64(F.lit(7), "n"), "n").limit(500)
+    whole = df.orderBy(F.md5(F.concat(F.lit("7|"), F.col("n").cast("string"))), "n").limit(500)
     assert rows(a) == rows(whole)
     assert ct.seeded_sample(df, ["n"], 30000).count() == 20000
 

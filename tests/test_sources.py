@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from sorterlog import fixed_values as fv
 from sorterlog.operators import columns as co
+from sorterlog.operators.fixes import EXPLANATION, fix_by_occurrence
+from sorterlog.operators.lookup import build_mapping
 from sorterlog.sources import combine, logs, sinks, staging, tables
 from tests.conftest import rows
 
@@ -63,6 +65,29 @@ def test_alarm_history_skips_banner_and_header(spark, tmp_path):
     assert rows(df) == [("A", "ES", '="00:01:02"', "x"), ("B", "MCC", None, "a;b"), ("B", "MCC", None, "a;b"), ("C", "ES", '="00:01:02"', "x")]
 
 
+def test_alarm_history_reads_each_file_by_its_own_header(spark, tmp_path):
+    (tmp_path / "b.csv").write_text("Filter: all\nPart name;Group\nA;ES\nB;MCC\n")
+    (tmp_path / "a.csv").write_text("Filter: x\nGroup;Alarm text;Part name\nMCC;Jam;C\n;;D;more\n")
+    df = tables.read_alarm_history(spark, str(tmp_path))
+    assert set(df.columns) == {"Part name", "Group", "Alarm text"}
+    assert rows(df.select("Part name", "Group", "Alarm text")) == [("A", "ES", None), ("B", "MCC", None), ("C", "MCC", "Jam"), ("D", None, None)]
+
+
+def test_positions_follow_the_file_names(spark, tmp_path):
+    (tmp_path / "b.csv").write_text("id,comment\n" + "1,late\n" * 2000 + "7,second\n")
+    (tmp_path / "a.csv").write_text("id,comment\n7,first\n")
+    fixes = tables.read_fix_list(spark, str(tmp_path))
+    assert [r["comment"] for r in fixes.where("id = '7'").orderBy("_pos").collect()] == ["first", "second"]
+    df = spark.createDataFrame([("0007", 8, 5), ("0007", 8, 3)], "indexNo string, sortCode bigint, _ord bigint")
+    fixed = {r["_ord"]: r[EXPLANATION] for r in fix_by_occurrence(df, fixes).collect()}
+    assert fixed == {3: "first", 5: "second"}
+    (tmp_path / "m").mkdir()
+    (tmp_path / "m" / "b.csv").write_text("IndexNo,Amazon,Beumer,Jackpot\n" + "1,x,y,\n" * 500 + "159,last,B,\n")
+    (tmp_path / "m" / "a.csv").write_text("IndexNo,Amazon,Beumer,Jackpot\n159,early,B,\n")
+    dim = build_mapping(tables.read_mapping(spark, str(tmp_path / "m")))
+    assert {r["IndexNo"]: r["Amazon"] for r in dim.collect()} == {1: "x", 159: "last"}
+
+
 def test_mapping_is_text_and_trimmed(spark, tmp_path):
     (tmp_path / "m.csv").write_text("IndexNo,Amazon,Beumer,Jackpot\n 0159 ,A-1 ,CHU1, JackPot \n76,,CHU2,\n")
     df = tables.read_mapping(spark, str(tmp_path / "m.csv"))
@@ -101,9 +126,10 @@ def test_csv_and_report_sinks(spark, tmp_path):
 
 
 def test_one_folder_per_destination(spark, tmp_path):
-    df = spark.createDataFrame([("A/B", 1), ("x" * 40, 2), ("A/B", 3)], "Amazon_Destination string, n int")
+    df = spark.createDataFrame([("A/B", 1), ("x" * 40, 2), ("A/B", 3), ("A_B", 4), ("x" * 40 + "y", 5), (None, 6)], "Amazon_Destination string, n int")
     sinks.write_per_destination(df, str(tmp_path / "d"))
-    assert {p.name for p in (tmp_path / "d").iterdir() if p.is_dir()} == {"sheet=A_B", "sheet=" + "x" * 31}
+    assert {p.name for p in (tmp_path / "d").iterdir() if p.is_dir()} == {"sheet=A%2FB", "sheet=A_B", "sheet=" + "x" * 40, "sheet=" + "x" * 40 + "y"}
+    assert spark.read.parquet(str(tmp_path / "d")).count() == 5
 
 
 def test_staging_uses_the_named_folder(spark, tmp_path, monkeypatch):
