@@ -23,6 +23,8 @@ def strip_frame(raw: Column | str) -> Column:
 
 # Every bracket is closed before the next one opens.
 _FLAT = r"\A[^\[\]]*+(?:\[[^\[\]]*+\][^\[\]]*+)*+\z"
+# A piece of such a text and the comma behind it; every character is looked at once.
+_PIECE = r"((?:[^,\[\]]++|\[[^\[\]]*+\])*+),"
 
 
 def split_pairs(text: Column | str, trim: bool = True) -> Column:
@@ -35,7 +37,7 @@ def split_pairs(text: Column | str, trim: bool = True) -> Column:
     """
     text = as_column(text)
     # One comma at the very end closes the last piece and opens none.
-    flat = F.split(F.regexp_replace(text, r",\z", ""), r",(?![^\[\]]*+\])")
+    flat = F.regexp_extract_all(F.concat(F.regexp_replace(text, r",\z", ""), F.lit(",")), F.lit(_PIECE), 1)
     pieces = F.when(text.rlike(_FLAT), flat).otherwise(_depth_split(text))
     pieces = F.transform(pieces, strip) if trim else pieces
     return F.when(text == "", F.array().cast("array<string>")).otherwise(pieces)

@@ -42,6 +42,11 @@ def test_flat_and_nested_texts_split_alike(one):
     assert one(texts, payload.split_pairs("c")) == one(texts, payload._depth_split(F.col("c")))
 
 
+def test_long_payload_without_lists(one):
+    text = ",".join(f"k{i}:{i}" for i in range(20_000))
+    assert one([text], payload.split_pairs("c")) == [text.split(",")]
+
+
 def test_null_payload_stays_null(one):
     assert one([None], payload.split_pairs("c")) == [None]
 

@@ -17,6 +17,7 @@ from sorterlog.operators import rates as ra
 from sorterlog.operators import spacing as sp
 from sorterlog.operators.lookup import add_destinations, build_mapping
 from sorterlog.operators.ordered import first_rows
+from sorterlog.operators.sizing import broadcast_if_small
 from sorterlog.operators.packages import assign_packages, assign_sessions, package_table
 from sorterlog.operators.timewindow import resolve_window
 from tests.conftest import rows
@@ -221,6 +222,13 @@ def test_fix_of_an_id_listed_very_often(spark, monkeypatch, points):
     assert windows and all("_slice" in w.split("windowspec")[-1] or "_slice" in w for w in windows)
 
 
+def test_broadcast_needs_few_rows_and_few_bytes(spark):
+    df = spark.createDataFrame([("x" * 1000,)] * 10, "c string")
+    hinted = [f(df)._jdf.queryExecution().logical().toString().startswith("ResolvedHint") or "UnresolvedHint" in f(df)._jdf.queryExecution().logical().toString()
+              for f in (broadcast_if_small, lambda d: broadcast_if_small(d, max_rows=9), lambda d: broadcast_if_small(d, max_bytes=9999))]
+    assert hinted == [True, False, False]
+
+
 def test_windows(spark):
     data = [(T0 + timedelta(minutes=m), m) for m in range(0, 100, 10)] + [(None, -1)]
     df = spark.createDataFrame(data, "timeStamp timestamp_ntz, n int")
