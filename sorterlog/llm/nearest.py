@@ -227,8 +227,9 @@ def top(
         })
 
     dealt = nodes.join(shards, "d").withColumn("shard", F.pmod(F.xxhash64("v"), F.col("shards").cast("long")).cast("int"))
+    number = shards.agg(F.sum("shards")).first()[0] or 1  # a graph is long work for few bytes: one task each
     graphs = stage(
-        dealt.groupBy("d", "shard").applyInArrow(
+        dealt.repartition(3 * number, "d", "shard").groupBy("d", "shard").applyInArrow(
             graph_of, "d int, shard int, vectors binary, nodes array<binary>, neighbours array<binary>, members array<array<long>>",
         ),
         "vector-graphs",
