@@ -7,14 +7,13 @@ lengths alone, at most `capacity` numbers, so the plan is made on the driver at
 any size of the data:
 
 * The configuration linear program (a configuration is a multiset of lengths
-  that fits) is solved by multiplicative weights. Each round prices the
-  lengths by how badly they are covered and adds the best configuration,
-  found by dynamic programming over the capacity. Every round's prices give a
-  lower bound on the number of sequences.
+  that fits) is solved by multiplicative weights. Prices start at the lengths
+  themselves and fall for what is covered well; each round adds the best
+  configuration at its prices, found by dynamic programming over the capacity.
+  Every round's prices give a lower bound on the number of sequences.
 * Rounding takes configurations in the order of their weight as often as the
-  remaining pieces allow; the rest is packed largest first, each sequence
-  filled by the largest piece that fits. The better of this and packing
-  everything largest first is the plan.
+  remaining pieces allow; what is left over by cutting weights to whole numbers
+  is packed largest first, each sequence filled by the largest piece that fits.
 
 Spark numbers the pieces of each length (counts per task and length, running
 sums) and each number looks up its sequence and offset in the plan.
@@ -43,6 +42,8 @@ from sorterlog.sources.staging import stage
 CAPACITY = 1024
 ROUNDS = 300
 STEP = 0.25
+RATE = 4.0
+LARGE_FIRST = 0.01
 
 
 @dataclass(frozen=True)
@@ -86,17 +87,18 @@ def configurations(demand: np.ndarray, capacity: int, rounds: int = ROUNDS) -> t
     need = demand > 0
     if not need.any():
         return [], [], 0
-    target = np.where(need, demand, 1).astype(float)
-    covered, bound = np.zeros(capacity + 1), float(np.ceil((demand * np.arange(capacity + 1)).sum() / capacity))
+    target, share = np.where(need, demand, 1).astype(float), np.arange(capacity + 1) / capacity
+    start = share + LARGE_FIRST * share**2  # of equal fills the one of larger pieces
+    covered, bound = np.zeros(capacity + 1), float(np.ceil((demand * share).sum()))
     found: dict[bytes, float] = {}
     for _ in range(rounds):
-        price = np.where(need, np.exp(-4 * (covered - covered[need].min())) / target, 0)
+        price = np.where(need, start * np.exp(-RATE * (covered - covered[need].min())), 0)
         used = best_configuration(price, capacity)
         bound = max(bound, float((price * demand).sum() / (price * used).sum()))
         step = STEP * float((target[used > 0] / used[used > 0]).min())
         covered += step * used / target
         found[used.tobytes()] = found.get(used.tobytes(), 0.0) + step
-    scale = 1 / max(float(np.average(covered[need], weights=demand[need])), 1e-9)
+    scale = 1 / float(np.average(covered[need], weights=(demand * share)[need]))
     return [np.frombuffer(k, np.int64) for k in found], [v * scale for v in found.values()], int(np.ceil(bound - 1e-6))
 
 
@@ -131,10 +133,8 @@ def make_plan(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int =
             rounded.append((used, times))
             left -= used * times
     rounded += largest_first(left, capacity)
-    plain = largest_first(demand, capacity)
-    chosen = min(rounded, plain, key=lambda p: sum(n for _, n in p))
     runs, at, sequence = [], np.zeros(capacity + 1, np.int64), 0
-    for used, times in chosen:
+    for used, times in rounded:
         offset = 0
         for length in np.flatnonzero(used)[::-1]:
             for _ in range(used[length]):

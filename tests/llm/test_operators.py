@@ -450,6 +450,17 @@ def test_plan_reaches_the_bound_where_pairs_fit_exactly():
     assert packing.make_plan({}, 10).sequences == 0
 
 
+@pytest.mark.parametrize("sizes", [(300, 400), (200, 700), (1, 1025)])
+def test_plan_is_no_worse_than_packing_largest_first(sizes):
+    rng = np.random.default_rng(16)
+    histogram = collections.Counter(rng.integers(*sizes, 20_000).tolist())
+    demand = np.zeros(1025, np.int64)
+    for n, k in histogram.items():
+        demand[n] = k
+    plan = packing.make_plan(dict(histogram))
+    assert plan.bound <= plan.sequences <= sum(k for _, k in packing.largest_first(demand, 1024))
+
+
 def test_best_configuration_matches_enumeration():
     rng = np.random.default_rng(13)
     for _ in range(20):
