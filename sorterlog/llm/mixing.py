@@ -91,9 +91,9 @@ def split_units(units: np.ndarray, shards: int, rng: np.random.Generator) -> np.
     return out
 
 
-def shard_count(sources: list[Source]) -> int:
+def shard_count(narrow: DataFrame) -> int:
     """Output shards of about SHARD_WORDS words."""
-    return int(min(MAX_BLOCKS // 8, max(8, sum(s.size for s in sources) // SHARD_WORDS)))
+    return int(min(MAX_BLOCKS // 8, max(8, (narrow.agg(F.sum("size")).first()[0] or 0) // SHARD_WORDS)))
 
 
 def source_table(rows: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: float = CAP) -> list[Source]:
@@ -160,7 +160,7 @@ def assign(
     for i, group in sums.groupby("s"):
         block_sizes[i] = np.zeros(sources[i].blocks, np.int64)
         block_sizes[i][group["b"].to_numpy()] = group["w"].to_numpy()
-    units, cuts = draw(sources, block_sizes, shards or shard_count(sources), seed)
+    units, cuts = draw(sources, block_sizes, shards or shard_count(narrow), seed)
     by_block: dict[tuple[int, int], list[tuple[int, int]]] = {(i, b): [] for i, b, *_ in cuts}
     for i, b, r, shard in units:
         by_block.setdefault((i, b), []).append((r, shard))
@@ -207,10 +207,12 @@ def mix(
     """The mixed rows: each row of `df` as often as the mix takes it, by shard and shuffled inside each shard."""
     held = fresh(df, "row")
     rows = df.select(F.struct(*[col(c) for c in df.columns]).alias(held), col(key).alias("key"), col(source).alias("source"), word_count(col(text)).alias("size"))
-    placed = assign(rows, weights, cap, shards, seed)
+    narrow = stage(rows.select("key", "source", "size"), "mix-sizes")
+    shards = shards or shard_count(narrow)
+    placed = assign(rows, weights, cap, shards, seed, narrow)
     shard = F.col("copy")["shard"]
     return (
-        placed.select(held, "key", F.explode("copies").alias("copy")).repartition(shard)
+        placed.select(held, "key", F.explode("copies").alias("copy")).repartitionById(shards, shard)  # a shard is a partition
         .sortWithinPartitions(shard, F.xxhash64(F.col("key").cast("string"), F.col("copy")["round"], F.lit(seed)))
         .select(f"{held}.*")
     )

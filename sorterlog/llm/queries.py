@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sorterlog.llm import language, licenses, mixing, nearest, packing, pages, quality, simhash, token_files, vector_dedup
+from sorterlog.llm.oracles import ORACLES
 from sorterlog.llm.shared import crc_fold, read
 from sorterlog.sources.staging import new_folder, stage
 
@@ -81,4 +82,4 @@ QUERIES = {
     "op10_mixing": op10_mixing,
 }
 
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]
