@@ -11,8 +11,10 @@ search exact. Each shard goes on with its own tree down to small leaves, and
 reports a star of edges for each group it finds linked, not all pairs.
 Components of these edges give the answer.
 
-The top tree comes from a bounded sample of fingerprints (`SAMPLE`); it
-affects only balance. Its depth follows the number of distinct fingerprints.
+The top tree comes from a sample of `LEAF_SAMPLE` fingerprints per leaf; it
+affects only balance. Its depth follows the number of distinct fingerprints up
+to `MAX_DEPTH`, which bounds the sample and the tree; beyond that the trees
+inside the shards grow deeper instead.
 
 Null and empty texts have fingerprint zero and are linked like any other.
 Rows that repeat a doc_id stay separate rows. Null ids never become a
@@ -35,7 +37,8 @@ from sorterlog.llm.shared import col, fresh, prepare
 from sorterlog.sources.staging import stage
 
 SEED = 42
-SAMPLE = 32768
+LEAF_SAMPLE = 16
+MAX_DEPTH = 15
 SHARD_ROWS = 4096
 LEAF_ROWS = 96
 PIECE = 400_000
@@ -155,10 +158,10 @@ def links(distinct: DataFrame, most_bits: int = 2, shard_rows: int = SHARD_ROWS)
     """Edges (a, b) between distinct fingerprints (`fp`, a signed long) whose components are those of all links."""
     spark = prepare(distinct.sparkSession)
     total = distinct.count()
-    depth = max(0, int(np.ceil(np.log2(max(total, 1) / shard_rows))))
-    share = min(1.0, SAMPLE / max(total, 1))
-    sample = distinct.where(F.pmod(F.xxhash64("fp"), F.lit(1 << 30)) < share * (1 << 30)).limit(2 * SAMPLE).toPandas()["fp"]
-    tree = spark.sparkContext.broadcast(top_tree(np.sort(sample.to_numpy(np.int64)).view(np.uint64), depth, most_bits))  # 2^depth nodes
+    depth = min(MAX_DEPTH, max(0, int(np.ceil(np.log2(max(total, 1) / shard_rows)))))
+    share = LEAF_SAMPLE * (1 << depth) / max(total, 1) if depth else 0.0
+    sample = distinct.where(F.pmod(F.xxhash64("fp"), F.lit(1 << 30)) < share * (1 << 30)).toPandas()["fp"]
+    tree = spark.sparkContext.broadcast(top_tree(np.sort(sample.to_numpy(np.int64)).view(np.uint64), depth, most_bits))  # at most 2^MAX_DEPTH nodes
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
