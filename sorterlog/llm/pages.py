@@ -2,14 +2,18 @@
 
 A page becomes a sequence of tags and pieces of text. Elements that never hold
 article text (scripts, menus, forms, adverts, comments and the like, told by
-name, class, id or role) are passed over as a whole. Of the rest, each word
-scores a positive weight and each tag a negative one; one linear scan finds
-the stretch with the largest sum, and its text is the main text.
+name, class, id or role) are passed over as a whole. A word of design that
+stands after no-, has-, with- or the like in a class only names a layout and
+does not count. Of the rest, each word scores one and each tag a negative
+weight; one linear scan finds the stretch with the largest sum, and its text is
+the main text. A page whose only articles stand in passed-over wrappers is read
+with and without these articles, and the longer text is taken.
 
 The weights come from labelled pages, those whose markup has exactly one
 `article` or `main` element: a tag's weight grows with how much more often it
-stands outside that element than inside. On a page that has such an element
-the words outside it score little. Counts per tag are summed in Spark over a
+stands outside that element than inside. The element's own tags cost nothing
+when a page is read, and tags between two such elements cost at most one word
+each, so several articles of a page stay together. Counts per tag are summed in Spark over a
 bounded sample of pages. Without any labelled page the default weights hold.
 
 Character references are decoded, white space inside a block is one space,
@@ -62,9 +66,21 @@ TOKEN = re.compile(
 )
 ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))|(?:^|\s)(hidden)(?=\s|=|$)", re.I)
 PART = re.compile(r"[a-z0-9]+")
+ARTICLE = re.compile(r"<article\b", re.I)
+LAYOUT = frozenset("no has with without layout".split())
 END_OF = {name: re.compile(rf"</{name}\b", re.I) for name in RAW}
 
 
+def design_parts(value: str) -> set[str]:
+    """Words of the class or id tokens of `value`, without those that follow a word such as no- or has-."""
+    words: set[str] = set()
+    for token in value.split():
+        parts = PART.findall(token)
+        if "layout" not in parts:
+            words.update(parts[: next((i for i, p in enumerate(parts) if p in LAYOUT), len(parts))])
+    return words
+
+
 def is_design(name: str, rest: str, in_content: bool) -> bool:
     """Whether an element is passed over, judged by its name and attributes."""
     if name in NEVER or (name in OUTSIDE_ONLY and not in_content) or (name == "footer" and in_content):
@@ -76,19 +92,30 @@ def is_design(name: str, rest: str, in_content: bool) -> bool:
         value = "".join(values).lower()
         if hidden or (kind.lower() == "role" and value in ROLES):
             return name not in CONTENT
-        words.update(PART.findall(value))
+        words |= design_parts(value)
     return bool(words & (COMMENTS if name in CONTENT else DESIGN))
 
 
-def items(page: str) -> Iterator[tuple[str, str, bool]]:
-    """Pieces of text as ("", text, in content) and tags as (name or /name, "", in content), without passed-over elements."""
-    stack: list[tuple[str, bool]] = []  # open elements, and whether each starts a passed-over part
+def holds_articles(name: str, rest: str) -> bool:
+    """Whether a passed-over element may be a mere wrapper of the page's article: told by class or id, or a form."""
+    if name in NEVER - {"form"}:
+        return False
+    return not any(hidden or kind.lower() == "role" or design_parts("".join(values).lower()) & COMMENTS for kind, *values, hidden in ATTRIBUTE.findall(rest))
+
+
+def items(page: str, rescue: bool = False) -> Iterator[tuple[str, str, bool]]:
+    """Pieces of text as ("", text, in content) and tags as (name or /name, "", in content), without passed-over elements.
+
+    `main` ends passed-over elements around it, with `rescue` also `article` where the element may be a wrapper.
+    """
+    stack: list[tuple[str, bool, bool]] = []  # open elements, whether each starts a passed-over part, and whether its articles stay passed over
     open_: dict[str, int] = {}
-    dropped = content = 0
+    dropped = content = sealed = 0
 
     def leave() -> None:
-        nonlocal dropped, content
-        name, drops = stack.pop()
+        nonlocal dropped, content, sealed
+        name, drops, seals = stack.pop()
+        sealed -= seals
         open_[name] -= 1
         dropped -= drops
         content -= name in CONTENT
@@ -124,7 +151,7 @@ def items(page: str) -> Iterator[tuple[str, str, bool]]:
         if name not in INLINE and name not in VOID:
             while stack and (stack[-1][0] in INLINE or stack[-1][0] == "p") and open_.get("p"):
                 leave()
-        if name in CONTENT and dropped and name == "main":
+        if dropped and (name == "main" or rescue and name == "article" and not sealed and not is_design(name, rest, False)):
             while dropped:
                 leave()
         drops = not dropped and is_design(name, rest, content > 0)
@@ -132,7 +159,9 @@ def items(page: str) -> Iterator[tuple[str, str, bool]]:
             yield name, "", content > 0
         if name in VOID or rest.endswith("/"):
             continue
-        stack.append((name, drops))
+        seals = rescue and is_design(name, rest, content > 0) and not holds_articles(name, rest)
+        stack.append((name, drops, seals))
+        sealed += seals
         open_[name] = open_.get(name, 0) + 1
         dropped += drops
         content += name in CONTENT
@@ -142,11 +171,9 @@ def items(page: str) -> Iterator[tuple[str, str, bool]]:
 class PageModel:
     tag: dict[str, float]
     other_tag: float
-    word_inside: float
-    word_outside: float
 
 
-DEFAULT = PageModel({"/p": -0.1, "p": -0.1, "br": -0.1, "article": -WORDS, "/article": -WORDS, "main": -WORDS, "/main": -WORDS, "li": -2.0, "a": -2.0, "td": -2.0}, -1.0, 1.0, LEAST)
+DEFAULT = PageModel({"/p": -0.1, "p": -0.1, "br": -0.1, "article": -WORDS, "/article": -WORDS, "main": -WORDS, "/main": -WORDS, "li": -2.0, "a": -2.0, "td": -2.0}, -1.0)
 
 
 def tag_counts(page: str) -> list[tuple[str, int, int]]:
@@ -192,7 +219,7 @@ def fit(df: DataFrame, key: str = "page_id", page: str = "html", max_fit_pages:
     if not table:
         return DEFAULT
     weight = {n: -max(LEAST, min(WORDS, (b + 1) / (a + 1))) for n, (a, b) in table.items() if n}
-    return PageModel(weight, weight.get("other", -1.0), 1.0, LEAST)
+    return PageModel(weight, weight.get("other", -1.0))
 
 
 def best_stretch(scores: np.ndarray) -> tuple[int, int]:
@@ -204,15 +231,32 @@ def best_stretch(scores: np.ndarray) -> tuple[int, int]:
     return start, end
 
 
+def tag_scores(sequence: list[tuple[str, str, bool]], model: PageModel) -> np.ndarray:
+    """One for each word, the learnt weight for each tag; a labelled element's own tags cost nothing, tags between two such elements one word at most."""
+    own = [i for i, (name, _, _) in enumerate(sequence) if name.lstrip("/") in CONTENT]
+    first, last = (own[0], own[-1]) if own else (0, 0)
+    return np.array([
+        len(text.split()) if not name
+        else 0.0 if name.lstrip("/") in CONTENT
+        else max(model.tag.get(name, model.other_tag), -1.0 if first < i < last and not inside else -WORDS)
+        for i, (name, text, inside) in enumerate(sequence)
+    ], float)
+
+
 def main_text(page: str | None, model: PageModel) -> str:
-    sequence = list(items(page or ""))
+    page = page or ""
+    sequence = list(items(page))
+    found = stretch_text(sequence, model)
+    if not any(name in CONTENT for name, _, _ in sequence) and ARTICLE.search(page):
+        found = max(found, stretch_text(list(items(page, rescue=True)), model), key=lambda t: len(t.split()))
+    return found
+
+
+def stretch_text(sequence: list[tuple[str, str, bool]], model: PageModel) -> str:
+    """Text of the best stretch."""
     if not sequence:
         return ""
-    labelled = any(inside for _, _, inside in sequence)
-    word = {True: model.word_inside, False: model.word_outside if labelled else 1.0}
-    scores = np.array([
-        word[inside] * len(text.split()) if not name else model.tag.get(name, model.other_tag) for name, text, inside in sequence
-    ])
+    scores = tag_scores(sequence, model)
     if not (scores > 0).any():
         return ""
     start, end = best_stretch(scores)
