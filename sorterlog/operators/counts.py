@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from sorterlog import fixed_values as fv
 from sorterlog.functions.fields import percent
 from sorterlog.operators.quantiles import WEIGHT, quantiles
+from sorterlog.sources.staging import stage
 
 
 def _present(keys: Sequence[str]) -> Column:
@@ -32,10 +33,10 @@ def ranked_counts(df: DataFrame, key: str, keep_null: bool = False, out: str = "
 
 
 def shares(df: DataFrame, key: str, places: int = 2) -> DataFrame:
-    """Rows per value and their share of all non-null values in percent, from one pass over the rows."""
-    counted = group_size(df, key).withColumn("_all", F.lit(1))
-    total = F.sum("count").over(Window.partitionBy("_all"))
-    return counted.withColumn("percentage", percent(F.col("count"), total, places)).drop("_all").orderBy(F.desc("count"), key)
+    """Rows per value and their share of all non-null values in percent, from one pass over the rows; the staged counts give the total."""
+    counted = stage(group_size(df, key), "counts")
+    total = F.broadcast(counted.agg(F.sum("count").alias("_total")))  # one row
+    return counted.crossJoin(total).withColumn("percentage", percent(F.col("count"), F.col("_total"), places)).drop("_total").orderBy(F.desc("count"), key)
 
 
 def repeated_values(df: DataFrame, key: str, out: str = "count") -> DataFrame:
