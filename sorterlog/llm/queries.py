@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sorterlog.llm import language, licenses, mixing, nearest, packing, pages, quality, simhash, token_files, vector_dedup
+from sorterlog.llm import language, licenses, mixing, nearest, packing, pages, quality, simhash, token_counts, token_files, vector_dedup
 from sorterlog.llm.oracles import ORACLES
 from sorterlog.llm.shared import crc_fold, read
 from sorterlog.sources.staging import new_folder, stage
@@ -69,6 +69,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op6_pages": op6_pages,
     "op3_licenses": op3_licenses,
@@ -80,6 +84,7 @@ QUERIES = {
     "op7_simhash": op7_simhash,
     "op8_language": op8_language,
     "op10_mixing": op10_mixing,
+    "op13_token_counts": op13_token_counts,
 }
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -3,13 +3,16 @@
 The byte-level vocabulary encodes each pre-token by itself. A batch of texts
 is cut into pre-tokens with array operations, equal pre-tokens are found by
 Arrow's dictionary encoding, and the tokenizer sees each different pre-token
-once. Its ids are then put back in place. The result equals
-`Tokenizer.encode` with special-token strings taken as ordinary text.
+once. Its ids are then put back in place. Texts are cut at the vocabulary's
+added tokens first, each of which has one id wherever its string stands. The
+result equals `Tokenizer.encode` of an untouched tokenizer without special
+tokens added.
 """
 
 from __future__ import annotations
 
 import functools
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -97,12 +100,21 @@ def byte_strings(array: pa.BinaryArray) -> list[bytes]:
     return [raw[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
 
 
+@functools.lru_cache(maxsize=2)
+def added_tokens(path: str) -> regex.Pattern:
+    """A pattern in one group that finds the strings of the vocabulary's added tokens; of several that start together the longest counts."""
+    with open(path, encoding="utf-8") as file:
+        strings = [t["content"] for t in json.load(file)["added_tokens"]]
+    return regex.compile("(" + "|".join(map(regex.escape, sorted(strings, key=len, reverse=True))) + ")" if strings else "((?!))")
+
+
 class Encoder:
     """A tokenizer with a memory of pre-tokens."""
 
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = added_tokens(path)
+        self.tokenizer.encode_special_tokens = True  # pieces between added tokens hold none
         # words come cut and as the vocabulary writes bytes, so these two steps have nothing to do
         self.tokenizer.pre_tokenizer = pre_tokenizers.Sequence([])
         self.tokenizer.post_processor = processors.ByteLevel(trim_offsets=False)
@@ -130,7 +142,13 @@ class Encoder:
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         """The ids of each text, in order, without an end id."""
         for a, b in slices([len(t) for t in texts], CHUNK):
-            yield from self._encode([t.encode("utf-8", "replace").decode() for t in texts[a:b]])
+            cut = [self.added.split(t.encode("utf-8", "replace").decode()) for t in texts[a:b]]
+            found = self._encode([piece for pieces in cut for piece in pieces[::2]])
+            for pieces in cut:
+                ids = next(found)
+                for string in pieces[1::2]:
+                    ids = np.concatenate((ids, np.array([self.tokenizer.token_to_id(string)], np.uint32), next(found)))
+                yield ids
 
     def _encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         sizes = np.fromiter(map(len, texts), np.int64, len(texts))

@@ -26,6 +26,7 @@ def corpus(seed=1, n=120):
     rows[7] = (7, None, "xx", None)
     rows[8] = (8, "", "xx", "s1")
     rows[9] = (9, "123 !!", None, None)
+    rows[12] = (12, "alba brom <|endoftext|> cindel dorath", "xx", "s0")
     rows[10] = (10, "alba " * 20_000, "xx", "s0")
     rows += [rows[3], rows[3], (None, rows[5][1], "yy", None), (200, rows[4][1], "xx", "s2"), (201, None, None, None)]
     return rows
@@ -360,15 +361,13 @@ def test_mix_comes_near_targets_and_reruns_agree(spark):
 
 
 def plain_tokenizer():
-    t = Tokenizer.from_file(token_ids.VOCABULARY)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(token_ids.VOCABULARY)  # as the library gives it, nothing switched
 
 
 def test_encoder_equals_the_tokenizer():
     rng, t = np.random.default_rng(10), plain_tokenizer()
     bits = ["'", "s", "t", "re", "ve", "m", "ll", "d", " ", "  ", "\n", "\t", "a", "é", "1", "²", "!", "…", "日本", "\xa0", "　", "😀", "\x00", "\x1c", "\x85", "<|endoftext|>", "S", "'LL", "ß", "word"]
-    texts = ["".join(rng.choice(bits, rng.integers(0, 14))) for _ in range(3000)] + ["", "x" * 100_000, "a'll"]
+    texts = ["".join(rng.choice(bits, rng.integers(0, 14))) for _ in range(3000)] + ["", "x" * 100_000, "a'll", "hello <|endoftext|> world", "<|endoftext|>" * 3]
     for text, ids in zip(texts, token_ids.encoder().encode(texts), strict=True):
         assert ids.tolist() == t.encode(text, add_special_tokens=False).ids, text
 
