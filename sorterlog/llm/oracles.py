@@ -51,4 +51,27 @@ WITH cut AS (SELECT page_id, url, regexp_replace(regexp_replace(regexp_extract(h
 plain AS (SELECT page_id, url, replace(replace(regexp_replace(x, '<[^>]*>', ' ', 'g'), '&quot;', '"'), '&amp;', '&') AS x FROM cut)
 SELECT page_id, url, trim(regexp_replace(x, '\s+', ' ', 'g')) AS text, CAST(length(trim(regexp_replace(x, '\s+', ' ', 'g'))) AS BIGINT) AS n_chars FROM plain"""
 
-ORACLES = {"op3_licenses": LICENSES, "op4_vector_dedup": VECTOR_DEDUP, "op6_pages": PAGES}
+PHRASES = r"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+words AS (SELECT row_number() OVER () AS piece, lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+single AS (SELECT piece, lang, unnest(w) AS w0, generate_subscripts(w, 1) AS p FROM words),
+rolling AS (SELECT lang, w0, lead(w0) OVER o AS w1, lead(w0, 2) OVER o AS w2, lead(w0, 3) OVER o AS w3, lead(w0, 4) OVER o AS w4 FROM single WINDOW o AS (PARTITION BY piece ORDER BY p)),
+grams AS (SELECT lang, 1 AS size, w0 AS phrase FROM rolling
+  UNION ALL SELECT lang, 2, w0 || ' ' || w1 FROM rolling WHERE w1 IS NOT NULL
+  UNION ALL SELECT lang, 3, w0 || ' ' || w1 || ' ' || w2 FROM rolling WHERE w2 IS NOT NULL
+  UNION ALL SELECT lang, 4, w0 || ' ' || w1 || ' ' || w2 || ' ' || w3 FROM rolling WHERE w3 IS NOT NULL
+  UNION ALL SELECT lang, 5, w0 || ' ' || w1 || ' ' || w2 || ' ' || w3 || ' ' || w4 FROM rolling WHERE w4 IS NOT NULL),
+counts AS (SELECT lang, size, phrase, count(*) AS f FROM grams GROUP BY ALL),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counts WHERE size = 1 GROUP BY 1),
+candidates AS (SELECT lang, phrase, size, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE size >= 2 AND f >= 100),
+hidden AS (SELECT DISTINCT lang, array_to_string(w[first : last], ' ') AS phrase, a AS longer
+  FROM candidates, (VALUES (1), (2), (3), (4)) AS f(first), (VALUES (2), (3), (4), (5)) AS t(last) WHERE last > first AND last <= size AND last - first + 1 < size),
+shown AS (SELECT * FROM candidates c WHERE NOT EXISTS (FROM hidden h WHERE h.lang = c.lang AND h.phrase = c.phrase AND 100 * longer >= 100 * a)),
+cuts AS (SELECT lang, phrase, a, k, array_to_string(w[1 : k], ' ') AS one, array_to_string(w[k + 1 : size], ' ') AS rest FROM shown, (VALUES (1), (2), (3), (4)) AS ks(k) WHERE k < size),
+scores AS (SELECT c.lang, c.phrase, a, k, o.f AS l, e.f AS r, n, CAST((1000::HUGEINT * a * n) // (o.f::HUGEINT * e.f) AS BIGINT) AS score
+  FROM cuts c JOIN counts o ON o.lang = c.lang AND o.phrase = one JOIN counts e ON e.lang = c.lang AND e.phrase = rest JOIN totals t ON t.lang = c.lang),
+least AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS place FROM scores),
+ranked AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM least WHERE place = 1)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000"""
+
+ORACLES = {"op12_phrases": PHRASES, "op3_licenses": LICENSES, "op4_vector_dedup": VECTOR_DEDUP, "op6_pages": PAGES}

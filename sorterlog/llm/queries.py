@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sorterlog.llm import language, licenses, mixing, nearest, packing, pages, quality, simhash, token_counts, token_files, vector_dedup
+from sorterlog.llm import language, licenses, mixing, nearest, packing, pages, phrases, quality, simhash, token_counts, token_files, vector_dedup, whitening
 from sorterlog.llm.oracles import ORACLES
 from sorterlog.llm.shared import crc_fold, read
 from sorterlog.sources.staging import new_folder, stage
@@ -69,6 +69,15 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings")
+    return whitening.transform(vectors, whitening.fit(vectors))
+
+
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(read(spark, sf_dir, "documents"))
+
+
 def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read(spark, sf_dir, "documents"))
 
@@ -84,6 +93,8 @@ QUERIES = {
     "op7_simhash": op7_simhash,
     "op8_language": op8_language,
     "op10_mixing": op10_mixing,
+    "op11_whitening": op11_whitening,
+    "op12_phrases": op12_phrases,
     "op13_token_counts": op13_token_counts,
 }
 
