@@ -18,13 +18,13 @@ from sorterlog.operators import fixes as fx
 from sorterlog.operators import rates as ra
 from sorterlog.operators.lookup import build_mapping
 from sorterlog.operators.timewindow import resolve_window
-from sorterlog.plans import alarm_reports
+from sorterlog.plans import alarm_reports, messages
 from sorterlog.plans.destinations import bypass_spacing, s02_destinations
 from sorterlog.plans.induction import induction_rate
 from sorterlog.plans.measurements import MEASURES, item_measurements
 from sorterlog.plans.sort_report import s04_analysis, s04_barcode_analysis, s04_first_element_analysis
 from sorterlog.sources import combine, sinks, tables
-from sorterlog.sources.logs import ORDER, read_log_monitor
+from sorterlog.sources.logs import ORDER, read_lines, read_log_monitor
 from sorterlog.sources.staging import new_folder
 
 WEEK = (datetime(2024, 1, 5), datetime(2024, 1, 12))
@@ -235,6 +235,38 @@ def combined_logs(spark, sf):
     return rows.select("id", "kind", "person", F.col("source_file").rlike("part-.*txt$").alias("has_file"))
 
 
+@query("combine_report", """
+SELECT kind, bytes > 0 AS has_bytes, rows, skipped, status FROM (
+  SELECT 'a' AS kind, 1 AS bytes, count(*) FILTER (event_id % 2 = 0) AS rows, 0::BIGINT AS skipped, 'read' AS status FROM events
+  UNION ALL SELECT 'b', 1, count(*) FILTER (event_id % 2 = 1 AND event_id % 10 <> 9), count(*) FILTER (event_id % 10 = 9), 'read' FROM events
+  UNION ALL SELECT 'broken', 1, 0, 0, 'unreadable')""")
+def combine_report(spark, sf):
+    """Two headed files, one of them with lines that are too long, and one that is no text although its name says so."""
+    e = r.table(spark, sf, "events").select("event_id", "event_type", F.col("user_id").cast("string").alias("user"))
+    base = new_folder(spark, "reported-logs")
+    id_ = F.col("event_id").cast("string")
+    more = F.when(F.col("event_id") % 10 == 9, F.lit(";too;many")).otherwise(F.lit(""))
+    headed_files(e.where("event_id % 2 = 0"), f"{base}/kind=a", F.concat_ws(";", id_, "event_type"), "event_id", "id;kind")
+    headed_files(e.where("event_id % 2 = 1"), f"{base}/kind=b", F.concat(F.lit('"'), F.col("user"), F.lit(';x";'), id_, more), "event_id", '"person";id')
+    # a compressed table under a name that promises compressed lines: its bytes are no such stream
+    e.coalesce(1).write.parquet(f"{base}/raw")
+    rename_first(spark, f"{base}/raw", f"{base}/kind=broken/part-0.txt.gz")
+    report = combine.combine_report(spark, f"{base}/kind=*", "*.txt*")
+    kind = F.when(F.col("file").endswith(".gz"), "broken").when(F.col("skipped") > 0, "b").otherwise("a")
+    return report.groupBy(kind.alias("kind"), (F.col("bytes") > 0).alias("has_bytes"), "status").agg(
+        F.sum("rows").alias("rows"), F.sum("skipped").alias("skipped"))
+
+
+def rename_first(spark, folder: str, target: str) -> None:
+    """Move the one data file of a folder to another name."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    source, to = hadoop.Path(folder), hadoop.Path(target)
+    files = source.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(to.getParent())
+    data = next(s.getPath() for s in files.listStatus(source) if s.getPath().getName().startswith("part-"))
+    files.rename(data, to)
+
+
 @query("alarm_history_files", f"""WITH {r.ALARM_SQL}
 SELECT ' =CBS01.' || kind || num || '+S001-U01' AS part, grp, CASE WHEN secs IS NOT NULL THEN '="' || {r.hms_sql('secs')} || '"' END AS duration, txt FROM alarms""")
 def alarm_history_files(spark, sf):
@@ -329,12 +361,61 @@ def window_strict(spark, sf):
     return resolve_window(typed_events(spark, sf), *WEEK, strict=True, ts="ts").rows.select("event_id")
 
 
-@query("complete_rows", "SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_orderkey % 3 <> 0 AND l_linenumber % 2 <> 0")
+@query("complete_rows", """
+SELECT CAST(l_orderkey % 50 AS DOUBLE) AS length, CAST(l_linenumber AS DOUBLE) AS width, CAST(l_orderkey AS DOUBLE) AS "positionFront"
+FROM lineitem WHERE l_orderkey % 3 <> 0 AND l_linenumber % 2 <> 0""")
 def complete_rows(spark, sf):
-    li = r.table(spark, sf, "lineitem").select(
-        "l_orderkey", "l_linenumber", F.when(F.col("l_orderkey") % 3 != 0, F.col("l_quantity")).alias("length"),
-        F.when(F.col("l_linenumber") % 2 != 0, F.col("l_quantity")).alias("width"), F.lit(1.0).alias("positionFront"))
-    return li.dropna(subset=MEASURES).select("l_orderkey", "l_linenumber")
+    """Measured points: messages without a number in one of the three measures are left out."""
+    li = r.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
+    length = F.when(F.col("l_orderkey") % 3 != 0, (F.col("l_orderkey") % 50).cast("string")).otherwise(F.lit("none"))
+    width = F.when(F.col("l_linenumber") % 2 != 0, F.col("l_linenumber").cast("string")).otherwise(F.lit(""))
+    raw = r.framed({"inductionNo": F.lit("4"), "length": length, "width": width, "positionFront": F.col("l_orderkey")})
+    line = r.log_record(F.lit("240101 000000 000"), F.lit(fv.MEASUREMENT_CODES[0]), F.col("l_orderkey"), raw)
+    logs = read_log_monitor(spark, r.log_files(li.select(line.alias("value")), "measured-lines"))
+    return item_measurements(logs)["points"].select(*MEASURES)
+
+
+@query("payload_profile", """
+WITH m AS (SELECT CASE WHEN event_id % 4 = 0 THEN '54163' ELSE '54177' END AS code, * FROM events),
+t AS (SELECT code, count(*) AS total FROM m GROUP BY 1),
+p AS (SELECT code, event_type AS key, 'list' AS type FROM m UNION ALL SELECT code, 'id', 'integer' FROM m UNION ALL SELECT code, 'value', 'decimal' FROM m
+  UNION ALL SELECT code, 'odd', CASE WHEN event_id % 3 = 1 THEN 'empty' ELSE 'text' END FROM m WHERE event_id % 3 > 0)
+SELECT code, key, type, count(*) AS messages, round(count(*) / any_value(total)::DOUBLE, 9) AS share FROM p JOIN t USING (code) GROUP BY 1, 2, 3""")
+def payload_profile(spark, sf):
+    """Keys, types and shares of messages of two codes, one key of which is not in all of them and repeats."""
+    odd = F.when(F.col("event_id") % 3 == 0, F.lit("")).when(F.col("event_id") % 3 == 1, F.lit(",odd:7,odd:")).otherwise(F.lit(",odd:7,odd:x y,"))
+    raw = F.concat(F.lit("->{"), F.col("event_type"), F.lit(":[1,2],id:"), F.col("event_id").cast("string"), F.lit(",value:"), F.format_string("%.2f", "value"), odd, F.lit("}<"))
+    code = F.when(F.col("event_id") % 4 == 0, "54163").otherwise(F.lit("54177"))
+    rows = r.table(spark, sf, "events").select(code.alias("messageCode"), raw.alias("rawMessage"))
+    return messages.payload_profile(rows).select(F.col("messageCode").alias("code"), "key", "type", "messages", F.round("share", 9).alias("share"))
+
+
+@query("whole_report", """
+SELECT 'parts' AS name, p_partkey AS key, 'Brand "' || p_brand || '", x' AS text FROM part UNION ALL SELECT 'suppliers', s_suppkey, s_name FROM supplier""")
+def whole_report(spark, sf):
+    """A report of two tables as comma files, found again by its list of tables."""
+    named = {
+        "parts": r.table(spark, sf, "part").select(F.col("p_partkey").alias("key"), F.concat(F.lit('Brand "'), "p_brand", F.lit('", x')).alias("text")),
+        "suppliers": r.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("key"), F.col("s_name").alias("text")),
+    }
+    base = new_folder(spark, "report")
+    sinks.write_report(named, base, fmt="csv")
+    one, other = (t.select(F.lit(n).alias("name"), F.col("key").cast("long").alias("key"), "text") for n, t in sinks.read_report(spark, base).items())
+    return one.unionByName(other)
+
+
+@query("run_counts", """
+SELECT count(*) + 2 AS lines, 2::BIGINT AS blank, count(*) FILTER (event_id % 11 = 0) AS too_long, count(*) FILTER (event_id % 11 <> 0 AND event_id % 4 <> 0) AS kept,
+  count(*) FILTER (event_id % 11 <> 0 AND event_id % 4 = 0) AS dropped, count(*) FILTER (event_id % 11 <> 0 AND event_id % 4 <> 0 AND event_id % 7 = 0) AS bad_stamps,
+  count(*) FILTER (event_id % 11 <> 0 AND event_id % 4 <> 0) AS stored FROM events""")
+def run_counts(spark, sf):
+    """What one pass over log files read, kept and left out."""
+    code = F.when(F.col("event_id") % 4 == 0, "54163").otherwise(F.lit(fv.SORT_REPORT_CODE))
+    stamp = F.when(F.col("event_id") % 7 == 0, F.lit("no stamp")).otherwise(r.stamp_of("ts"))
+    line = F.concat(r.log_record(stamp, code, F.col("event_id"), F.lit("->{a:1}<")), F.when(F.col("event_id") % 11 == 0, F.lit(";more")).otherwise(F.lit("")))
+    lines = r.table(spark, sf, "events").select(line.alias("value")).union(spark.range(2).select(F.lit("  ")))
+    table, counts = messages.counted_records(read_lines(spark, r.log_files(lines, "counted-lines")), fv.SORT_REPORT_CODE)
+    return table.agg(*[F.lit(n).cast("long").alias(name) for name, n in counts.items()], F.count(F.lit(1)).alias("stored"))
 
 
 @query("inductions_present", f"""SELECT DISTINCT CASE event_type WHEN 'click' THEN 'IU001' WHEN 'view' THEN 'IU002' WHEN 'error' THEN 'IU005'

@@ -147,18 +147,11 @@ def threshold_counts(df: DataFrame, groups: Mapping[str, Sequence[str]], thresho
 def seeded_sample(df: DataFrame, keys: Sequence[str], rows: int = fv.SAMPLE_ROWS, seed: int = fv.SAMPLE_SEED) -> DataFrame:
     """Repeatable sample of `rows` rows, all if there are fewer: those with the smallest md5 of the seed and their keys.
 
-    Rows are thinned to slightly more than wanted by a bound on the hash
-    before the final sort, so no task sorts the table.
+    The input is read once; every task keeps its `rows` smallest and only those meet.
     """
     parts = [F.coalesce(F.col(k).cast("string") if not _nested(df, k) else F.to_json(k), F.lit("")) for k in keys]
     ranked = df.withColumn("_rank", F.md5(F.concat_ws("|", F.lit(str(seed)), *parts)))
-    total = df.count()
-    share = min(1.0, (rows * 1.2 + 20.0) / max(total, 1))
-    bound = f"{int(share * 0xFFFFFFFF):08x}"
-    near = ranked.where(F.substring("_rank", 1, 8) <= bound)
-    if near.limit(rows).count() < min(rows, total):
-        near = ranked
-    return near.orderBy("_rank", *keys).limit(rows).drop("_rank")
+    return ranked.orderBy("_rank", *keys).limit(rows).drop("_rank")
 
 
 def _nested(df: DataFrame, name: str) -> bool:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -12,22 +13,23 @@ from sorterlog.functions.clock import seconds_between, time_label
 from sorterlog.operators.timewindow import TimeWindow
 
 
-def choose_target(inductions: DataFrame, name: str = "inductionNo") -> DataFrame:
-    """Target of a set of inductions as one row, null when none has a target.
+def choose_target(inductions: DataFrame, name: str = "inductionNo", by: Sequence[str] = ()) -> DataFrame:
+    """Target of a set of inductions as one row, null when none has a target; with `by`, a row per group that has one.
 
     Names without a target are ignored. One induction of a kind has the
     single target, several the kind's share; mixed kinds the mean of both.
     """
-    known = inductions.select(name).distinct().where(
+    known = inductions.select(*by, name).distinct().where(
         F.col(name).isin(fv.SEMI_INDUCTIONS + fv.AUTO_INDUCTIONS + fv.SPS_INDUCTIONS)
     )
     n, all_semi, all_auto, all_sps = (F.col(c) for c in ("n", "semi", "auto", "sps"))
-    return known.agg(
+    return known.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"),
         F.every(F.col(name).isin(fv.SEMI_INDUCTIONS)).alias("semi"),
         F.every(F.col(name).isin(fv.AUTO_INDUCTIONS)).alias("auto"),
         F.every(F.col(name).isin(fv.SPS_INDUCTIONS)).alias("sps"),
     ).select(
+        *by,
         F.when(n == 0, F.lit(None).cast("double"))
         .when(all_semi, F.when(n == 1, F.lit(fv.TARGET_SINGLE_SEMI)).otherwise(F.lit(fv.TARGET_ALL_SEMI)))
         .when(all_auto, F.when(n == 1, F.lit(fv.TARGET_SINGLE_AUTO)).otherwise(F.lit(fv.TARGET_ALL_AUTO)))

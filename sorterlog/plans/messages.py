@@ -4,16 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from sorterlog import fixed_values as fv
 from sorterlog.functions import payload as pl
 from sorterlog.functions.clock import parse_stamp
 from sorterlog.functions.fields import scrub as scrub_text
-from sorterlog.functions.fields import to_int
+from sorterlog.functions.fields import strip, to_int
 from sorterlog.operators.columns import drop_quotes_all, scrub_all
-from sorterlog.sources.logs import ORDER
+from sorterlog.operators.sizing import broadcast_if_small
+from sorterlog.sources.logs import ORDER, split_fields
 from sorterlog.sources.staging import stage
 
 DROPPED = "_dropped"
@@ -40,6 +41,26 @@ def filter_counts(logs: DataFrame, code: str) -> DataFrame:
     return logs.agg(kept.alias("kept"), (F.count(F.lit(1)) - kept).alias("dropped"))
 
 
+def counted_records(lines: DataFrame, codes: str | Sequence[str], scrub: bool = True) -> tuple[DataFrame, dict[str, int]]:
+    """Records of the given codes in a staged table, and counts of what the same pass read and left out.
+
+    `lines` come from `read_lines`. Counted are `lines`, `blank` and `too_long` lines, `kept`
+    and `dropped` records by code, and of the kept ones those with `bad_stamps`. The counts are
+    gathered while the table is written, so the text is read once.
+    """
+    wanted = [codes] if isinstance(codes, str) else list(codes)
+    n, scanned, chosen, stamped = F.lit(1), Observation("scan"), Observation("codes"), Observation("stamps")
+    fields = F.size(F.split(F.replace("value", F.lit("\0"), F.lit("")), ";"))
+    blank = (fields == 1) & (strip(F.replace("value", F.lit("\0"), F.lit(""))) == "")
+    seen = lines.observe(scanned, F.count(n).alias("lines"), F.count_if(blank).alias("blank"), F.count_if(fields > len(fv.LOG_COLUMNS)).alias("too_long"))
+    inside = F.coalesce(scrub_text("messageCode").isin(wanted), F.lit(False))
+    records = split_fields(seen).observe(chosen, F.count_if(inside).alias("kept"), F.count_if(~inside).alias("dropped"))
+    rows = records_of(records, codes, scrub)
+    bad = F.col("timeStamp").isNull() if scrub else parse_stamp(F.replace("timeStamp", F.lit(" "), F.lit(""))).isNull()
+    table = stage(rows.observe(stamped, F.count_if(bad).alias("bad_stamps")), "counted-records")
+    return table, {**scanned.get, **chosen.get, **stamped.get}
+
+
 def with_payload(records: DataFrame, keys: Sequence[str], raw: str = "rawMessage", repair: bool = False,
                  scrubbed: bool = True) -> DataFrame:
     """Replace the raw message by one string column per key.
@@ -67,6 +88,29 @@ def payload_keys(records: DataFrame, raw: str = "rawMessage") -> DataFrame:
     return records.select(F.explode(pl.keys_of(pairs)).alias("key")).distinct().orderBy("key")
 
 
+def payload_profile(records: DataFrame, raw: str = "rawMessage", code: str = "messageCode") -> DataFrame:
+    """What the payloads of each message code hold, for messages that are not known yet.
+
+    One row per code, key and type of its values (`integer`, `decimal`, `list`,
+    `empty`, `text`): how many messages have it, and their share of the code's messages.
+    A key counts once per message, by its last value. One pass; what is shuffled is counts.
+    """
+    pairs = pl.key_value_pieces(pl.split_pairs(pl.strip_frame(raw)))
+    cut = records.select(code, pairs.alias("_pairs")).select(code, pl.keys_of("_pairs").alias("_keys"), pl.values_of("_pairs").alias("_values"))
+    entries = F.transform(F.array_distinct("_keys"), lambda k: F.struct(k.alias("key"), pl.value_of("_keys", "_values", k).alias("value")))
+    message = F.array(F.struct(F.lit(None).cast("string").alias("key"), F.lit(None).cast("string").alias("value")))  # stands for the message itself
+    each = cut.select(code, F.explode(F.concat(message, F.coalesce(entries, F.slice(message, 1, 0)))).alias("_e")).select(code, "_e.*")
+    value = F.col("value")
+    kind = (
+        F.when(F.col("key").isNull(), F.lit(None)).when(value.rlike(r"^-?[0-9]+$"), "integer").when(value.rlike(r"^-?[0-9]*\.[0-9]+$"), "decimal")
+        .when(value.startswith("["), "list").when(value == "", "empty").otherwise("text")
+    )
+    counts = stage(each.groupBy(code, "key", kind.alias("type")).agg(F.count(F.lit(1)).alias("messages")), "payload-counts")
+    totals = counts.where(F.col("key").isNull()).select(F.col(code).alias("_code"), F.col("messages").alias("_total"))
+    shared = counts.where(F.col("key").isNotNull()).join(broadcast_if_small(totals), F.col(code).eqNullSafe(F.col("_code")))
+    return shared.select(code, "key", "type", "messages", (F.col("messages") / F.col("_total")).alias("share"))
+
+
 def explode_destinations(messages: DataFrame, mark: str | None = None) -> DataFrame:
     """One row per attempted destination.
 

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 _written: list[tuple[SparkSession, str]] = []
-_tables: weakref.WeakSet[DataFrame] = weakref.WeakSet()
+_tables: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 
 
 def staging_folder(spark: SparkSession) -> str:
@@ -44,17 +44,28 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
     table = df.sparkSession.read.schema(df.schema).parquet(path)
-    _tables.add(table)
+    _tables[table] = path
     return table
 
 
 def remove_staged(keep: int = 0) -> None:
     """Delete all but the first `keep` tables this process staged; results read from them must be consumed before."""
     while len(_written) > keep:
-        spark, path = _written.pop()
         try:
-            jvm = spark.sparkContext._jvm
-            target = jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+            _delete(*_written.pop())
         except Exception:  # noqa: BLE001  the session may be gone at exit; the folder's own clean-up then removes it
             return
+
+
+def unstage(*tables: DataFrame | None) -> None:
+    """Delete staged tables that no later step reads; what `stage` did not write is left alone."""
+    for table in tables:
+        path = None if table is None else _tables.pop(table, None)
+        if path is not None:
+            _written.remove((table.sparkSession, path))
+            _delete(table.sparkSession, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

@@ -157,3 +157,28 @@ def test_column_operators(spark):
         co.name_columns(df, fv.LOG_COLUMNS)
     assert co.name_columns_to_width(df, fv.FLAT_EXPORT_COLUMNS).columns == fv.FLAT_EXPORT_COLUMNS[:5]
     assert rows(co.to_int_columns(df.select("v"), ["v"])) == [(1,), (2,), (None,)]
+
+
+def test_a_report_is_whole_or_refused(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a;\"x\""), (2, None)], "n int, t string")
+    base = (tmp_path / "whole").as_uri()
+    sinks.write_report({"b": df, "a": df.limit(1)}, base, fmt="csv")
+    found = sinks.read_report(spark, base)
+    assert list(found) == ["b", "a"] and sorted(tuple(r) for r in found["b"].collect()) == [("1", 'a;"x"'), ("2", None)]
+    bad = df.select(F.raise_error(F.lit("no such table")).cast("string").alias("n"))
+    with pytest.raises(Exception, match="no such table"):
+        sinks.write_report({"a": df, "bad": bad}, (tmp_path / "part").as_uri())
+    with pytest.raises(FileNotFoundError):
+        sinks.read_report(spark, (tmp_path / "part").as_uri())
+    with pytest.raises(Exception, match="no such table"):
+        sinks.write_report({"b": df, "a": bad}, base, fmt="csv", mode="overwrite")
+    with pytest.raises(FileNotFoundError):
+        sinks.read_report(spark, base)
+    assert sinks.write_report({}, base) == []
+
+
+def test_busy_destinations_are_divided_and_small_ones_are_not(spark, tmp_path):
+    df = spark.range(0, 30_000, 1, 16).select(F.when(F.col("id") % 3 > 0, "busy").otherwise(F.concat(F.lit("d"), F.col("id") % 30)).alias("Amazon_Destination"), "id")
+    sinks.write_per_destination(df, str(tmp_path / "d"), rows_per_file=3000)
+    files = {p.name: len(list(p.glob("*.parquet"))) for p in (tmp_path / "d").iterdir() if p.is_dir()}
+    assert files.pop("sheet=busy") >= 20_000 // 3000 and len(files) == 10 and set(files.values()) == {1}
