@@ -10,13 +10,19 @@ permuted, and every shard takes its own consecutive, disjoint range of the
 permutation. Inside a shard rows are sorted by a hash.
 
 The number of blocks is bounded (`MAX_BLOCKS` in all, plus one per source), so
-the plan does not grow with the documents. The one block at which a source's
-target falls is cut by documents: in hash order each document that still fits
+the plan does not grow with the documents. The block at which a source's
+target falls and the next ones of the permutation (`CUT_BLOCKS`) are cut by documents: in hash order each document that still fits
 is taken, and one more if that comes nearer to the target. All draws come from `seed` and hashes, so reruns agree.
 
+Rows that are the same in key and size are copies of one another there: if only
+some of them fit, so many are taken, which ones is decided by
+counts per task and never by sorting all of them in one place.
+
 A document's size is its number of words (0 for a null text). Null sources
 form one source and come last; null keys hash like any other. An empty table gives an empty mix.
-Rows that are the same in key and size share a fate.
+Very long texts are rows like others; one that is larger than what is left is passed over. Further columns may have any names.
+The driver holds one entry per source, and per output shard and source a number of units. Shards are at most
+`MAX_BLOCKS` / 8; beyond, each is written by several tasks, one after the other in the order of the shard.
 """
 
 from __future__ import annotations
@@ -26,10 +32,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sorterlog.llm.shared import col, fresh, prepare
+from sorterlog.operators.sizing import broadcast_if_small
 from sorterlog.sources.staging import stage
 
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -37,6 +44,8 @@ CAP = 3
 MAX_BLOCKS = 65536
 BLOCK_DOCUMENTS = 64
 SHARD_WORDS = 5_000_000
+#: Blocks of a source, from the one at which its target falls, that are cut by documents.
+CUT_BLOCKS = 8
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -91,9 +100,11 @@ def split_units(units: np.ndarray, shards: int, rng: np.random.Generator) -> np.
     return out
 
 
-def shard_count(narrow: DataFrame) -> int:
-    """Output shards of about SHARD_WORDS words."""
-    return int(min(MAX_BLOCKS // 8, max(8, (narrow.agg(F.sum("size")).first()[0] or 0) // SHARD_WORDS)))
+def shard_count(narrow: DataFrame) -> tuple[int, int]:
+    """Output shards of about SHARD_WORDS words, and the tasks for each when there would be too many."""
+    words = narrow.agg(F.sum("size")).first()[0] or 0
+    shards = int(min(MAX_BLOCKS // 8, max(8, words // SHARD_WORDS)))
+    return shards, int(max(1, -(-words // (shards * SHARD_WORDS)) if words > shards * SHARD_WORDS * 2 else 1))
 
 
 def source_table(rows: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: float = CAP) -> list[Source]:
@@ -110,7 +121,7 @@ def source_table(rows: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: flo
 
 
 def draw(sources: list[Source], block_sizes: dict[int, np.ndarray], shards: int, seed: int) -> tuple[list[tuple], list[tuple]]:
-    """Units (source, block, round, shard, order) that the mix takes whole, and the cut block of each source (source, block, words, shard)."""
+    """Units (source, block, round, shard) that the mix takes whole, and the cut blocks of each source (source, block, words, round, shard, place)."""
     orders, whole, cut = [], [], []
     for i, s in enumerate(sources):
         sizes = block_sizes.get(i, np.zeros(s.blocks, np.int64))
@@ -120,8 +131,9 @@ def draw(sources: list[Source], block_sizes: dict[int, np.ndarray], shards: int,
         full = np.cumsum(sizes[order])
         extra = int(np.searchsorted(full, left, side="right")) if s.size else 0
         whole.append([(int(b), r) for r in range(rounds) for b in order] + [(int(b), rounds) for b in order[:extra]])
-        if extra < s.blocks and s.size:
-            cut.append((i, int(order[extra]), float(left - (full[extra - 1] if extra else 0)), rounds))
+        if s.size:
+            words = float(left - (full[extra - 1] if extra else 0))
+            cut += [(i, int(b), words, rounds, place) for place, b in enumerate(order[extra : extra + CUT_BLOCKS])]
         orders.append(np.random.default_rng([seed, i, 1]).permutation(len(whole[-1])))
     rng = np.random.default_rng([seed, len(sources)])
     quota = split_units(np.array([len(w) for w in whole], np.int64), shards, rng)
@@ -129,7 +141,7 @@ def draw(sources: list[Source], block_sizes: dict[int, np.ndarray], shards: int,
     for i, (mine, order) in enumerate(zip(whole, orders, strict=True)):
         shard = np.repeat(np.arange(shards), quota[:, i])
         units += [(i, *mine[k], int(t)) for k, t in zip(order, shard, strict=True)]
-    return units, [(i, b, words, r, int(rng.integers(shards))) for i, b, words, r in cut]
+    return units, [(i, b, words, r, int(rng.integers(shards)), place) for i, b, words, r, place in cut]
 
 
 def assign(
@@ -150,8 +162,10 @@ def assign(
         [(i, s.name, s.size, s.target, s.blocks) for i, s in enumerate(sources)], "s int, name string, source_size long, target double, blocks int",
     )
 
+    small = broadcast_if_small(table)
+
     def in_blocks(df: DataFrame) -> DataFrame:
-        return df.join(F.broadcast(table), F.col("source").eqNullSafe(F.col("name"))).drop("name").withColumn(
+        return df.join(small, F.col("source").eqNullSafe(F.col("name"))).drop("name").withColumn(
             "h", F.xxhash64(F.col("key").cast("string"), F.col("size"), F.lit(seed)),
         ).withColumn("b", F.pmod("h", F.col("blocks").cast("long")).cast("int"))
 
@@ -160,7 +174,7 @@ def assign(
     for i, group in sums.groupby("s"):
         block_sizes[i] = np.zeros(sources[i].blocks, np.int64)
         block_sizes[i][group["b"].to_numpy()] = group["w"].to_numpy()
-    units, cuts = draw(sources, block_sizes, shards or shard_count(narrow), seed)
+    units, cuts = draw(sources, block_sizes, shards or shard_count(narrow)[0], seed)
     by_block: dict[tuple[int, int], list[tuple[int, int]]] = {(i, b): [] for i, b, *_ in cuts}
     for i, b, r, shard in units:
         by_block.setdefault((i, b), []).append((r, shard))
@@ -168,36 +182,50 @@ def assign(
     plan = spark.createDataFrame(
         [(i, b, v, (i, b) in at_cut) for (i, b), v in by_block.items()], "s int, b int, whole array<struct<round:int,shard:int>>, is_cut boolean",
     )
-    cut = spark.createDataFrame(cuts, "s int, b int, words double, round int, shard int")
+    cut = spark.createDataFrame(cuts, "s int, b int, words double, round int, shard int, place int")
+    group_key, units_type = ["s", "b", "h", "size"], "array<struct<round:int,shard:int>>"
 
     def fitting(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["h", "size"], kind="stable")
-        left, taken, over = float(group["words"].iloc[0]), [], None
-        for h, size, n in zip(group["h"], group["size"], group["n"], strict=True):
-            if size * n <= left:
-                left -= size * n
-                taken.append((h, size))
-            elif over is None or size * n < over[0]:
-                over = (size * n, h, size)
-        if over and over[0] - left < left:  # one more document comes nearer to the target than none
-            taken.append(over[1:])
-        out = pd.DataFrame(taken, columns=["h", "size"])
-        return out.assign(s=group["s"].iloc[0], b=group["b"].iloc[0], round=group["round"].iloc[0], shard=group["shard"].iloc[0])[["s", "b", "h", "size", "round", "shard"]]
+        group = group.sort_values(["place", "h", "size"], kind="stable").reset_index(drop=True)
+        left, over = float(group["words"].iloc[0]), None
+        taken = np.zeros(len(group), np.int64)
+        for i, (size, n) in enumerate(zip(group["size"], group["n"], strict=True)):
+            taken[i] = n if not size else min(n, int(left // size))
+            left -= size * taken[i]
+            if taken[i] < n and (over is None or size < group["size"][over]):
+                over = i
+        if over is not None and group["size"][over] - left < left:  # one more document comes nearer to the target than none
+            taken[over] += 1
+        return group.assign(taken=taken)[taken > 0][[*group_key, "n", "taken", "round", "shard"]]
 
     edge = (
-        in_blocks(narrow).join(F.broadcast(cut), ["s", "b"]).groupBy("s", "b", "h", "size", "words", "round", "shard").agg(F.count("*").alias("n"))
-        .groupBy("s", "b").applyInPandas(fitting, "s int, b int, h long, size long, round int, shard int")
+        in_blocks(narrow).join(broadcast_if_small(cut), ["s", "b"]).groupBy(*group_key, "words", "round", "shard", "place").agg(F.count("*").alias("n"))
+        .groupBy("s").applyInPandas(fitting, "s int, b int, h long, size long, n long, taken long, round int, shard int")  # CUT_BLOCKS blocks of one source
     )
-    edge = stage(edge, "mix-cut-blocks").select("s", "b", "h", "size", F.array(F.struct("round", "shard")).alias("part"))
-    empty = F.array().cast("array<struct<round:int,shard:int>>")
-    planned = in_blocks(rows).join(F.broadcast(plan), ["s", "b"], "left").withColumn("whole", F.coalesce("whole", empty))
+    edge = stage(edge, "mix-cut-blocks").select(*group_key, (F.col("taken") < F.col("n")).alias("some"), "taken", F.array(F.struct("round", "shard")).alias("part"))
+    empty = F.array().cast(units_type)
+    planned = in_blocks(rows).join(broadcast_if_small(plan), ["s", "b"], "left").withColumn("whole", F.coalesce("whole", empty))
     kept = [*rows.columns, "source_size", "target"]
-    # only the rows of cut blocks, one block per source, meet the list of fitting documents
+    # only the rows of cut blocks, a few blocks per source, meet the list of fitting documents
     inside = planned.where("is_cut is not true").select(*kept, F.col("whole").alias("copies"))
-    border = planned.where("is_cut").join(edge, ["s", "b", "h", "size"], "left").select(
-        *kept, F.concat("whole", F.coalesce("part", empty)).alias("copies"),
-    )
-    return inside.unionByName(border)
+    border = planned.where("is_cut").join(edge, group_key, "left")
+    either = border.where("some is not true").select(*kept, F.concat("whole", F.coalesce("part", empty)).alias("copies"))
+    found = inside.unionByName(either)
+    if edge.where("some").isEmpty():
+        return found
+    divided = numbered(border.where("some"), group_key)
+    chosen = F.when(F.col("number") <= F.col("taken"), F.concat("whole", "part")).otherwise(F.col("whole"))
+    return found.unionByName(divided.select(*kept, chosen.alias("copies")))
+
+
+def numbered(rows: DataFrame, by: list[str]) -> DataFrame:
+    """`number` from 1 of each row in its group. Rows are written with running ids first; a task numbers the rows of one task that wrote them."""
+    table = stage(rows.withColumn("uid", F.monotonically_increasing_id()), "mix-copies")
+    task = F.shiftright("uid", 33).alias("task")
+    before = Window.partitionBy(*by).orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    bases = table.groupBy(*by, task).agg(F.count("*").alias("m")).select(*by, "task", F.coalesce(F.sum("m").over(before), F.lit(0)).alias("base"))
+    inside = Window.partitionBy(*by, "task").orderBy("uid")
+    return table.select("*", task).join(bases, [*by, "task"]).withColumn("number", F.col("base") + F.row_number().over(inside))
 
 
 def mix(
@@ -208,11 +236,9 @@ def mix(
     held = fresh(df, "row")
     rows = df.select(F.struct(*[col(c) for c in df.columns]).alias(held), col(key).alias("key"), col(source).alias("source"), word_count(col(text)).alias("size"))
     narrow = stage(rows.select("key", "source", "size"), "mix-sizes")
-    shards = shards or shard_count(narrow)
+    shards, tasks = (shards, 1) if shards else shard_count(narrow)
     placed = assign(rows, weights, cap, shards, seed, narrow)
-    shard = F.col("copy")["shard"]
-    return (
-        placed.select(held, "key", F.explode("copies").alias("copy")).repartitionById(shards, shard)  # a shard is a partition
-        .sortWithinPartitions(shard, F.xxhash64(F.col("key").cast("string"), F.col("copy")["round"], F.lit(seed)))
-        .select(f"{held}.*")
-    )
+    order = F.xxhash64(F.col("key").cast("string"), F.col("copy")["round"], F.lit(seed))
+    shares = placed.select(held, "key", F.explode("copies").alias("copy")).withColumn("order", order)
+    task = F.col("copy")["shard"] * tasks + (F.shiftrightunsigned("order", 33) * tasks / (1 << 31)).cast("int")  # a shard is `tasks` partitions, by ranges of the order
+    return shares.repartitionById(shards * tasks, task).sortWithinPartitions(task, F.shiftrightunsigned("order", 33), "order").select(f"{held}.*")

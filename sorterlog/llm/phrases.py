@@ -11,7 +11,8 @@ construction, with vertical partitioning.
    ends before a word that is too rare for any candidate (a fixed table of
    2^24 bits says which may be frequent). Suffixes are grouped by
    their first word; a heavy beginning is divided by its next word, again and
-   again, so each group stays within a memory budget however uneven the words are. Equal suffixes of a batch travel as one row.
+   again, so each group stays within a memory budget however uneven the words are. Equal suffixes of a stretch of text
+   travel as one row, rows with one beginning side by side, and the `CODES` most frequent words as one character each.
 3. Each group is sorted by itself. In sorted order the suffixes are the leaves
    of a suffix tree cut at depth five, and every inner node is a stretch of
    them; its count is the sum of its leaves. Groups are read as streams.
@@ -52,8 +53,10 @@ SHARE = 2048
 GROUP = 4_000_000
 #: Buckets of words that may be frequent, as a power of two.
 BUCKET_BITS = 24
-#: Bytes of text that are cut at once, and suffix rows that are counted at once.
-STRETCH, BLOCK = 4_000_000, 64_000
+#: Bytes of text of a language that are cut at once, bytes of all languages that wait for it, and suffix rows that are counted at once.
+STRETCH, WAITING, BLOCK = 6_000_000, 12_000_000, 64_000
+#: Words with a character of their own, from `FIRST_CODE` on; other words follow `PLAIN`, which no character is.
+CODES, FIRST_CODE, PLAIN = 50_000, 0x21, b"\x02"
 #: Parts of a language that are ranked separately first.
 RANK_PARTS = 32
 SEED = 42
@@ -83,21 +86,14 @@ def word_hash(lang: Column, word: Column) -> Column:
     return F.xxhash64(F.concat(lang, F.lit("\x01"), word))
 
 
-def stretches(texts: list[str | None]) -> Iterator[bytes]:
-    """Lower-case texts, joined up to about `STRETCH` bytes; longer ones are cut at the next end of a piece."""
-    held, size = [], 0
-    for text in texts:
-        data = (text or "").encode("utf-8", "replace").lower() + b"\n"  # bytes.lower changes A-Z only
-        while data:
-            cut = len(data) if len(data) <= STRETCH else CUT.search(data, STRETCH).end()
-            if size and size + cut > STRETCH:
-                yield b"".join(held)
-                held, size = [], 0
-            held.append(data[:cut])
-            size += cut
-            data = data[cut:]
-    if size:
-        yield b"".join(held)
+def lower_bytes(text: str | None) -> Iterator[bytes]:
+    """A text in lower case (A-Z only) with an end of a piece after it; long ones are cut at ends of pieces."""
+    data = (text or "").encode("utf-8", "replace").lower() + b"\n"
+    while len(data) > STRETCH:
+        cut = CUT.search(data, STRETCH).end()
+        yield data[:cut]
+        data = data[cut:]
+    yield data
 
 
 def words_of(data: bytes, lang: str) -> Words | None:
@@ -122,15 +118,28 @@ def words_of(data: bytes, lang: str) -> Words | None:
 
 
 def by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Words]]:
-    """The words of each language of each batch of (lang, text)."""
+    """The words of stretches of text of one language each, from batches of (lang, text)."""
+    held: dict[str, list[bytes]] = {}
+    sizes: dict[str, int] = {}
+    waiting = 0
+
+    def taken(lang: str) -> Iterator[tuple[str, Words]]:
+        del sizes[lang]
+        if (words := words_of(b"".join(held.pop(lang)), lang)) is not None:
+            yield lang, words
+
     for batch in batches:
-        texts: dict[str, list[str | None]] = {}
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            texts.setdefault(lang, []).append(text)
-        for lang, some in texts.items():
-            for data in stretches(some):
-                if (words := words_of(data, lang)) is not None:
-                    yield lang, words
+            for data in lower_bytes(text):
+                held.setdefault(lang, []).append(data)
+                sizes[lang] = sizes.get(lang, 0) + len(data)
+                waiting += len(data)
+                full = lang if sizes[lang] >= STRETCH else max(sizes, key=sizes.get) if waiting >= WAITING else None
+                if full is not None:
+                    waiting -= sizes[full]
+                    yield from taken(full)
+    for lang in list(held):
+        yield from taken(lang)
 
 
 def strings(values: list[bytes]) -> pa.Array:
@@ -215,11 +224,10 @@ def suffixes(words: Words, frequent: np.ndarray, heavy: list[np.ndarray]) -> tup
     at = np.flatnonzero(size > 1)
     size = size[at]
     codes = [np.where(size > k, words.code[np.minimum(at + k, len(words.code) - 1)], 0) for k in range(LONGEST)]
-    mixed = np.zeros(len(at), np.uint64)
-    for c in codes:
-        mixed = (mixed ^ c.astype(np.uint64)) * MIX
-        mixed = mixed ^ (mixed >> np.uint64(31))
-    order = np.argsort(mixed)  # equal suffixes come together; should others fall between, they just stay apart
+    if len(words.distinct) < 1 << 21:  # three words and two words fit one number each
+        order = np.lexsort((codes[3] << 21 | codes[4], codes[0] << 42 | codes[1] << 21 | codes[2]))
+    else:
+        order = np.lexsort(codes[::-1])
     new = np.zeros(len(at), bool)
     new[:1] = True
     for c in codes:
@@ -231,7 +239,7 @@ def suffixes(words: Words, frequent: np.ndarray, heavy: list[np.ndarray]) -> tup
     depth = np.ones(len(at), np.int8)  # the first beginning that is not heavy
     group = np.zeros(len(at), np.uint64)
     hashes = [words.hashes[np.maximum(c[one] - 1, 0)] for c in codes]
-    for k, h in enumerate(beginning_hash(hashes)):
+    for k, h in enumerate(beginning_hash(hashes)):  # the order of rows stays, so equal beginnings are neighbours
         here = (depth == k + 1) & (size > k)
         group[here] = h[here]
         if k < len(heavy):
@@ -239,13 +247,31 @@ def suffixes(words: Words, frequent: np.ndarray, heavy: list[np.ndarray]) -> tup
     return at, size, group, depth, count
 
 
-def grouped(table: DataFrame, frequent: np.ndarray, heavy: list[np.ndarray]) -> DataFrame:
-    """(beginning, depth, lang, suffix, n); every word of a suffix is followed by a blank."""
-    shared = table.sparkSession.sparkContext.broadcast((frequent, heavy))
+def coded(words: Words, codes: dict[bytes, bytes]) -> Words:
+    """The same words with their codes in `data`."""
+    written = [codes.get(w) or PLAIN + w + b" " for w in words.distinct]
+    sizes = np.fromiter(map(len, written), np.int64, len(written))[words.code - 1]
+    data = b"".join(map(written.__getitem__, (words.code - 1).tolist()))
+    return dataclasses.replace(words, data=data, begin=np.concatenate(([0], np.cumsum(sizes))))
+
+
+def decoded(phrase: bytes, words: list[bytes]) -> bytes:
+    parts = phrase.split(b" ")
+    return b" ".join(p[1:] if p[:1] == PLAIN else words[ord(p.decode()) - FIRST_CODE] for p in parts)
+
+
+def grouped(table: DataFrame, frequent: np.ndarray, heavy: list[np.ndarray], common: list[tuple[str, bytes]]) -> DataFrame:
+    """(beginning, depth, lang, suffix, n); every word of a suffix is coded and followed by a blank."""
+    shared = table.sparkSession.sparkContext.broadcast((frequent, heavy, common))
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent, heavy, common = shared.value
+        codes: dict[str, dict[bytes, bytes]] = {}
+        for i, (lang, word) in enumerate(common):
+            codes.setdefault(lang, {})[word] = chr(FIRST_CODE + i).encode() + b" "
         for lang, words in by_language(batches):
-            at, size, group, depth, count = suffixes(words, *shared.value)
+            at, size, group, depth, count = suffixes(words, frequent, heavy)
+            words = coded(words, codes.get(lang, {}))
             for a in range(0, len(at), BLOCK):
                 some = slice(a, a + BLOCK)
                 ends = words.begin[at[some] + size[some]].tolist()
@@ -320,13 +346,15 @@ class Tree:
         return out
 
 
-def node_counts(sorted_suffixes: DataFrame, least: int) -> DataFrame:
+def node_counts(sorted_suffixes: DataFrame, least: int, common: list[tuple[str, bytes]]) -> DataFrame:
     """(lang, phrase, size, n) of the nodes of depth 2 and more, from partitions that are sorted by language and suffix."""
 
+    shared = sorted_suffixes.sparkSession.sparkContext.broadcast([w for _, w in common])
+
     def rows(found: list[tuple[str, bytes, int, int]]) -> Iterator[pa.RecordBatch]:
         if found:
             lang, phrase, size, n = zip(*found, strict=True)
-            yield pa.record_batch([pa.array(lang), strings(list(phrase)), pa.array(size, pa.int32()), pa.array(n, pa.int64())], ["lang", "phrase", "size", "n"])
+            yield pa.record_batch([pa.array(lang), strings([decoded(p, shared.value) for p in phrase]), pa.array(size, pa.int32()), pa.array(n, pa.int64())], ["lang", "phrase", "size", "n"])
 
     def block(tree: Tree, held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(held).combine_chunks()
@@ -364,10 +392,11 @@ def frequent_phrases(df: DataFrame, text: str = "text", lang: str = "lang", leas
     totals = stage(words.groupBy("lang").agg(F.sum("n").alias("total")), "language-words")
     total = totals.agg(F.coalesce(F.sum("total"), F.lit(0))).first()[0]
     heavy = known.where(F.col("n") * 2 * SHARE > total).select("lang", "phrase").collect()  # at most 2 SHARE for each size
-    spread = grouped(table, maybe_frequent(words, least), heavy_hashes([tuple(r) for r in heavy]))
+    common = [(r["lang"], r["phrase"].encode()) for r in words.orderBy(F.desc("n"), "lang", "phrase").limit(CODES).select("lang", "phrase").collect()]
+    spread = grouped(table, maybe_frequent(words, least), heavy_hashes([tuple(r) for r in heavy]), common)
     groups = max(df.sparkSession.sparkContext.defaultParallelism, -(-total // GROUP))
     leaves = spread.repartition(groups, "beginning").sortWithinPartitions("lang", "suffix")
-    nodes = node_counts(leaves, least).groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n"))
+    nodes = node_counts(leaves, least, common).groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n"))
     frequent = nodes.unionByName(words.select("lang", "phrase", "size", "n")).where(F.col("n") >= least)
     return stage(frequent, "frequent-phrases"), totals
 

@@ -17,7 +17,7 @@ BATCH_ROWS = 1000
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Let Python workers import this package from where the driver found it, and keep Arrow batches small."""
+    """Let Python workers import this package from where the driver found it, keep Arrow batches small, drop shuffle files when a query ends."""
     environment = spark.sparkContext.environment
     paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
     if ROOT not in paths:
@@ -25,6 +25,7 @@ def prepare(spark: SparkSession) -> SparkSession:
     environment.setdefault("TOKENIZERS_PARALLELISM", "false")
     if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     return spark
 
 

@@ -50,9 +50,9 @@ def prose(seed=6):
     return rows + [(500, None, "aa", None), (501, "", None, None), (None, rows[3][1], "bb", None), (502, "go on " * 20_000, "aa", "s")] + [rows[7]] * 40
 
 
-@pytest.mark.parametrize(("share", "stretch", "block", "least"), [(2048, 4_000_000, 64_000, 100), (3, 300, 7, 20), (40, 5000, 100, 5)])
-def test_collocations_equal_brute_force(spark, monkeypatch, share, stretch, block, least):
-    for name, value in (("SHARE", share), ("STRETCH", stretch), ("BLOCK", block)):
+@pytest.mark.parametrize(("share", "stretch", "block", "least", "codes"), [(2048, 6_000_000, 64_000, 100, 50_000), (3, 300, 70, 20, 5), (40, 5000, 100, 5, 0)])
+def test_collocations_equal_brute_force(spark, monkeypatch, share, stretch, block, least, codes):
+    for name, value in (("SHARE", share), ("STRETCH", stretch), ("BLOCK", block), ("CODES", codes), ("WAITING", 2 * stretch)):
         monkeypatch.setattr(phrases, name, value)
     rows = prose()
     df = documents(spark, rows, extra=True).repartition(5)
