@@ -64,10 +64,10 @@ def sql_list(names: list[str] | tuple[str, ...]) -> str:
 WITH e AS (SELECT time_bucket(INTERVAL 30 MINUTE, ts) AS start_ts, CASE event_type WHEN 'click' THEN 'IU001' WHEN 'view' THEN 'IU002' WHEN 'error' THEN 'IU005'
     WHEN 'purchase' THEN 'SPS001' ELSE 'No Map Yet' END AS line_name FROM events),
 c AS (SELECT start_ts, line_name, count(*) AS n_items FROM e GROUP BY ALL),
-k AS (SELECT start_ts, count(*) AS n, bool_and(line_name IN {sql_list(fv.SEMI_INDUCTIONS)}) AS semi, bool_and(line_name IN {sql_list(fv.AUTO_INDUCTIONS)}) AS auto,
-    bool_and(line_name IN {sql_list(fv.SPS_INDUCTIONS)}) AS sps FROM c WHERE line_name <> 'No Map Yet' GROUP BY 1),
-t AS (SELECT start_ts, CAST(CASE WHEN semi AND n = 1 THEN {fv.TARGET_SINGLE_SEMI} WHEN semi THEN {fv.TARGET_ALL_SEMI} WHEN auto AND n = 1 THEN {fv.TARGET_SINGLE_AUTO}
-    WHEN auto THEN {fv.TARGET_ALL_AUTO} WHEN sps THEN {fv.TARGET_SPS} ELSE {(fv.TARGET_ALL_SEMI + fv.TARGET_ALL_AUTO) / 2} END AS DOUBLE) AS target FROM k)
+k AS (SELECT start_ts, count(*) AS n, bool_and(line_name IN {sql_list(fv.SEMI_INDUCTIONS)}) AS all_semi, bool_and(line_name IN {sql_list(fv.AUTO_INDUCTIONS)}) AS all_auto,
+    bool_and(line_name IN {sql_list(fv.SPS_INDUCTIONS)}) AS all_sps FROM c WHERE line_name <> 'No Map Yet' GROUP BY 1),
+t AS (SELECT start_ts, CAST(CASE WHEN all_semi AND n = 1 THEN {fv.TARGET_SINGLE_SEMI} WHEN all_semi THEN {fv.TARGET_ALL_SEMI} WHEN all_auto AND n = 1 THEN {fv.TARGET_SINGLE_AUTO}
+    WHEN all_auto THEN {fv.TARGET_ALL_AUTO} WHEN all_sps THEN {fv.TARGET_SPS} ELSE {(fv.TARGET_ALL_SEMI + fv.TARGET_ALL_AUTO) / 2} END AS DOUBLE) AS target FROM k)
 SELECT start_ts, start_ts + INTERVAL 30 MINUTE AS end_ts, line_name, n_items, round(n_items * 2.0::DOUBLE, 4) AS pph_window, round(target, 4) AS target_pph,
   round(n_items * 2.0::DOUBLE / target * 100, 4) AS attainment, n_items * 2.0::DOUBLE >= target AS passed FROM c JOIN t USING (start_ts)""")
 def stream_rates(spark, sf):
