@@ -184,6 +184,7 @@ def pieces(df: DataFrame, key: str = "doc_id", text: str = "text", capacity: int
                 arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=False)]
                 names = ["doc_id", "piece", "start", "length", "ids_crc32", "task", "number", "ids"][: len(arrays) + 1]
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner)), *arrays], names)
+        encoder(vocabulary).forget()
 
     return stage(rows.mapInArrow(encode, schema), "pieces")
 

@@ -119,6 +119,10 @@ class Encoder:
         self.tokenizer.pre_tokenizer = pre_tokenizers.Sequence([])
         self.tokenizer.post_processor = processors.ByteLevel(trim_offsets=False)
         self.vocabulary_size = self.tokenizer.get_vocab_size()
+        self.forget()
+
+    def forget(self) -> None:
+        """Give the remembered pre-tokens' memory back, as at the end of a task."""
         self.place: dict[bytes, int] = {}
         self.ids = np.zeros(0, np.uint32)
         self.begins = np.zeros(1, np.int64)
@@ -166,7 +170,7 @@ class Encoder:
         words = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), data]).dictionary_encode()
         known = byte_strings(words.dictionary)
         if len(self.place) + len(known) > MEMORY:
-            self.place, self.ids, self.begins = {}, np.zeros(0, np.uint32), np.zeros(1, np.int64)
+            self.forget()
         new = [w for w in known if w not in self.place]
         if new:
             self.learn(new)
