@@ -2,24 +2,28 @@
 
 A page becomes a sequence of tags and pieces of text. Elements that never hold
 article text (scripts, menus, forms, adverts, comments and the like, told by
-name, class, id or role) are passed over as a whole. A word of design that
-stands after no-, has-, with- or the like in a class only names a layout and
-does not count. Of the rest, each word scores one and each tag a negative
+name, class, id or role) are passed over as a whole. A class or id token tells
+that if it is a word of design, alone or followed by no more than words for
+boxes (`sidebar`, `site-footer`, `comment-list`, but not `share-price` or
+`comments-open`). A form around half of the page's words or more is a wrapper and stays.
+Of the rest, each word scores one and each tag a negative
 weight; one linear scan finds the stretch with the largest sum, and its text is
-the main text. A page whose only articles stand in passed-over wrappers is read
+the main text. Letters of scripts that are written without blanks count as a word each. A page whose only articles stand in passed-over wrappers is read
 with and without these articles, and the longer text is taken.
 
 The weights come from labelled pages, those whose markup has exactly one
 `article` or `main` element: a tag's weight grows with how much more often it
 stands outside that element than inside. The element's own tags cost nothing
 when a page is read, and tags between two such elements cost at most one word
-each, so several articles of a page stay together. Counts per tag are summed in Spark over a
+each, as do other tags inside one, so several articles of a page stay together. Tags for parts of a text (lists, tables, captions) that no labelled
+page shows, or that stand inside such an element, cost less than a word. Counts per tag are summed in Spark over a
 bounded sample of pages. Without any labelled page the default weights hold.
 
 Character references are decoded, white space inside a block is one space,
 blocks are joined by one space. Null pages count as empty; a page without text
 gives an empty string. Repeated rows give equal results. Markup that is cut
-off or not closed ends with the page.
+off or not closed ends with the page. Long pages are read whole; of equal sums the earliest stretch counts, and the longest of those.
+An empty table gives an empty one, and only the three chosen columns are read.
 """
 
 from __future__ import annotations
@@ -47,7 +51,7 @@ RAW = frozenset("script style textarea title xmp iframe noembed noframes".split(
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var".split())
 CONTENT = frozenset(("article", "main"))
 NEVER = frozenset(
-    "script style textarea title xmp iframe noembed noframes noscript template svg math object canvas audio video nav aside form button select datalist option "
+    "script style textarea title xmp iframe noembed noframes noscript template svg math object canvas audio video nav aside form label legend button select datalist option "
     "dialog menu head map".split()
 )
 OUTSIDE_ONLY = frozenset(("header", "footer"))
@@ -68,19 +72,41 @@ ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'
 PART = re.compile(r"[a-z0-9]+")
 ARTICLE = re.compile(r"<article\b", re.I)
 LAYOUT = frozenset("no has with without layout".split())
+BOXES = frozenset("area bar block box buttons container form icons inner item items link links list panel posts section slot top bottom unit wrap wrapper".split())
+#: Weights of tags for parts of a text where no labelled page has them.
+PARTS_OF_TEXT = frozenset("li ul ol dl dt dd figure figcaption table thead tbody tr td th blockquote pre section h1 h2 h3 h4 h5 h6".split())
+PART_WEIGHT = -0.4
+UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
+TAG = re.compile(r"<[^>]*>")
 END_OF = {name: re.compile(rf"</{name}\b", re.I) for name in RAW}
 
 
 def design_parts(value: str) -> set[str]:
-    """Words of the class or id tokens of `value`, without those that follow a word such as no- or has-."""
+    """Words of design that class or id tokens of `value` name, those that only name a layout (`has-sidebar`) or something else (`share-price`) left out."""
     words: set[str] = set()
     for token in value.split():
         parts = PART.findall(token)
-        if "layout" not in parts:
-            words.update(parts[: next((i for i, p in enumerate(parts) if p in LAYOUT), len(parts))])
+        if LAYOUT.intersection(parts):
+            continue
+        at = next((i for i in range(len(parts)) if all(p in DESIGN or i < k and (p in BOXES or p.isdigit()) for k, p in enumerate(parts) if k >= i)), None)
+        if at is not None:
+            words.update(p for p in parts[at:] if p in DESIGN)
     return words
 
 
+def count_words(text: str) -> int:
+    """Words between blanks; letters of scripts without blanks count singly."""
+    n = len(text.split())
+    return n if text.isascii() else n + len(UNSPACED.findall(text))
+
+
+def wraps_page(page: str, at: int) -> bool:
+    """Whether a form that opens before `at` holds half of the page's words or more."""
+    end = page.lower().find("</form", at)
+    inner = TAG.sub(" ", page[at : end if end >= 0 else len(page)])
+    return 2 * count_words(inner) >= count_words(TAG.sub(" ", page))
+
+
 def is_design(name: str, rest: str, in_content: bool) -> bool:
     """Whether an element is passed over, judged by its name and attributes."""
     if name in NEVER or (name in OUTSIDE_ONLY and not in_content) or (name == "footer" and in_content):
@@ -154,7 +180,8 @@ def items(page: str, rescue: bool = False) -> Iterator[tuple[str, str, bool]]:
         if dropped and (name == "main" or rescue and name == "article" and not sealed and not is_design(name, rest, False)):
             while dropped:
                 leave()
-        drops = not dropped and is_design(name, rest, content > 0)
+        wrapper = name == "form" and not dropped and wraps_page(page, at)
+        drops = not dropped and not wrapper and is_design(name, rest, content > 0)
         if not dropped and not drops:
             yield name, "", content > 0
         if name in VOID or rest.endswith("/"):
@@ -185,7 +212,7 @@ def tag_counts(page: str) -> list[tuple[str, int, int]]:
     for name, text, inside in sequence:
         inside = inside and name.lstrip("/") not in CONTENT
         if not name:
-            n = len(text.split())
+            n = count_words(text)
         elif name.lstrip("/") in VOID | INLINE | CONTENT | {"p", "div", "h1", "h2", "h3", "h4", "h5", "h6", "ul", "ol", "li", "table", "tr", "td", "th", "section", "body", "html", "header", "blockquote", "pre", "figure"}:
             n = 1
         else:
@@ -236,9 +263,10 @@ def tag_scores(sequence: list[tuple[str, str, bool]], model: PageModel) -> np.nd
     own = [i for i, (name, _, _) in enumerate(sequence) if name.lstrip("/") in CONTENT]
     first, last = (own[0], own[-1]) if own else (0, 0)
     return np.array([
-        len(text.split()) if not name
+        count_words(text) if not name
         else 0.0 if name.lstrip("/") in CONTENT
-        else max(model.tag.get(name, model.other_tag), -1.0 if first < i < last and not inside else -WORDS)
+        else max(model.tag.get(name, model.other_tag), PART_WEIGHT) if name.lstrip("/") in PARTS_OF_TEXT and (inside or name not in model.tag)
+        else max(model.tag.get(name, model.other_tag), -1.0 if inside or first < i < last else -WORDS)
         for i, (name, text, inside) in enumerate(sequence)
     ], float)
 
@@ -248,7 +276,7 @@ def main_text(page: str | None, model: PageModel) -> str:
     sequence = list(items(page))
     found = stretch_text(sequence, model)
     if not any(name in CONTENT for name, _, _ in sequence) and ARTICLE.search(page):
-        found = max(found, stretch_text(list(items(page, rescue=True)), model), key=lambda t: len(t.split()))
+        found = max(found, stretch_text(list(items(page, rescue=True)), model), key=count_words)
     return found
 
 

@@ -12,8 +12,9 @@ construction, with vertical partitioning.
    2^24 bits says which may be frequent). Suffixes are grouped by
    their first word; a heavy beginning is divided by its next word, again and
    again, so each group stays within a memory budget however uneven the words are. Equal suffixes of a stretch of text
-   travel as one row, rows with one beginning side by side, and the `CODES` most frequent words as one character each.
-3. Each group is sorted by itself. In sorted order the suffixes are the leaves
+   count once, the `CODES` most frequent words are one character each, and what a stretch has for one part of the
+   groups travels as one compressed block with its rows in the order of their words.
+3. Blocks are unpacked where their groups meet, and each group is sorted by itself. In sorted order the suffixes are the leaves
    of a suffix tree cut at depth five, and every inner node is a stretch of
    them; its count is the sum of its leaves. Groups are read as streams.
    Nodes above the depth at which a heavy beginning was divided are spread over
@@ -51,6 +52,8 @@ TOP = 2000
 SHARE = 2048
 #: Suffixes of one group, about.
 GROUP = 4_000_000
+#: Parts that groups are dealt to, at least; a task gets several of them.
+LEAST_PARTS = 256
 #: Buckets of words that may be frequent, as a power of two.
 BUCKET_BITS = 24
 #: Bytes of text of a language that are cut at once, bytes of all languages that wait for it, and suffix rows that are counted at once.
@@ -260,8 +263,18 @@ def decoded(phrase: bytes, words: list[bytes]) -> bytes:
     return b" ".join(p[1:] if p[:1] == PLAIN else words[ord(p.decode()) - FIRST_CODE] for p in parts)
 
 
-def grouped(table: DataFrame, frequent: np.ndarray, heavy: list[np.ndarray], common: list[tuple[str, bytes]]) -> DataFrame:
-    """(beginning, depth, lang, suffix, n); every word of a suffix is coded and followed by a blank."""
+SUFFIXES = pa.schema([("depth", pa.int8()), ("suffix", pa.string()), ("n", pa.int64())])
+
+
+def packed(rows: pa.RecordBatch) -> bytes:
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, SUFFIXES, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_batch(rows)
+    return out.getvalue().to_pybytes()
+
+
+def grouped(table: DataFrame, frequent: np.ndarray, heavy: list[np.ndarray], common: list[tuple[str, bytes]], parts: int) -> DataFrame:
+    """(part, lang, block): what a stretch of text has for one of `parts` parts of the groups, as packed rows (depth, suffix, n); every word of a suffix is coded and followed by a blank."""
     shared = table.sparkSession.sparkContext.broadcast((frequent, heavy, common))
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -271,16 +284,30 @@ def grouped(table: DataFrame, frequent: np.ndarray, heavy: list[np.ndarray], com
             codes.setdefault(lang, {})[word] = chr(FIRST_CODE + i).encode() + b" "
         for lang, words in by_language(batches):
             at, size, group, depth, count = suffixes(words, frequent, heavy)
+            if not len(at):
+                continue
             words = coded(words, codes.get(lang, {}))
-            for a in range(0, len(at), BLOCK):
-                some = slice(a, a + BLOCK)
-                ends = words.begin[at[some] + size[some]].tolist()
-                texts = [words.data[i:j] for i, j in zip(words.begin[at[some]].tolist(), ends, strict=True)]
-                yield pa.record_batch([
-                    pa.array(group[some].view(np.int64)), pa.array(depth[some]), pa.array([lang] * len(texts), pa.string()), strings(texts), pa.array(count[some], pa.int64()),
-                ], ["beginning", "depth", "lang", "suffix", "n"])
+            part = (group % np.uint64(parts)).astype(np.int32)
+            order = np.argsort(part, kind="stable")
+            begin, end, part = words.begin[at[order]].tolist(), words.begin[at[order] + size[order]].tolist(), part[order]
+            rows = pa.record_batch([pa.array(depth[order]), strings([words.data[i:j] for i, j in zip(begin, end, strict=True)]), pa.array(count[order], pa.int64())], schema=SUFFIXES)
+            cuts = np.concatenate(([0], np.flatnonzero(part[1:] != part[:-1]) + 1, [len(part)])).tolist()
+            blocks = [packed(rows.slice(a, b - a)) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+            yield pa.record_batch([pa.array(part[cuts[:-1]]), pa.array([lang] * len(blocks), pa.string()), pa.array(blocks, pa.binary())], ["part", "lang", "block"])
+
+    return table.mapInArrow(each, "part int, lang string, block binary")
+
+
+def unpacked(blocks: DataFrame) -> DataFrame:
+    """(lang, suffix, n, depth) of the blocks."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lang, block in zip(batch.column(1).to_pylist(), batch.column(2), strict=True):
+                for rows in pa.ipc.open_stream(block.as_buffer()):
+                    yield pa.record_batch([pa.array([lang] * len(rows), pa.string()), rows.column(1), rows.column(2), rows.column(0)], ["lang", "suffix", "n", "depth"])
 
-    return table.mapInArrow(each, "beginning long, depth byte, lang string, suffix string, n long")
+    return blocks.mapInArrow(each, "lang string, suffix string, n long, depth byte")
 
 
 class Tree:
@@ -393,9 +420,9 @@ def frequent_phrases(df: DataFrame, text: str = "text", lang: str = "lang", leas
     total = totals.agg(F.coalesce(F.sum("total"), F.lit(0))).first()[0]
     heavy = known.where(F.col("n") * 2 * SHARE > total).select("lang", "phrase").collect()  # at most 2 SHARE for each size
     common = [(r["lang"], r["phrase"].encode()) for r in words.orderBy(F.desc("n"), "lang", "phrase").limit(CODES).select("lang", "phrase").collect()]
-    spread = grouped(table, maybe_frequent(words, least), heavy_hashes([tuple(r) for r in heavy]), common)
     groups = max(df.sparkSession.sparkContext.defaultParallelism, -(-total // GROUP))
-    leaves = spread.repartition(groups, "beginning").sortWithinPartitions("lang", "suffix")
+    spread = grouped(table, maybe_frequent(words, least), heavy_hashes([tuple(r) for r in heavy]), common, max(LEAST_PARTS, 4 * groups))
+    leaves = unpacked(spread.repartition(groups, "part")).sortWithinPartitions("lang", "suffix")
     nodes = node_counts(leaves, least, common).groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n"))
     frequent = nodes.unionByName(words.select("lang", "phrase", "size", "n")).where(F.col("n") >= least)
     return stage(frequent, "frequent-phrases"), totals
