@@ -57,7 +57,7 @@ LEAST_PARTS = 256
 #: Buckets of words that may be frequent, as a power of two.
 BUCKET_BITS = 24
 #: Bytes of text of a language that are cut at once, bytes of all languages that wait for it, and suffix rows that are counted at once.
-STRETCH, WAITING, BLOCK = 6_000_000, 12_000_000, 64_000
+STRETCH, WAITING, BLOCK = 2_500_000, 5_000_000, 64_000
 #: Words with a character of their own, from `FIRST_CODE` on; other words follow `PLAIN`, which no character is.
 CODES, FIRST_CODE, PLAIN = 50_000, 0x21, b"\x02"
 #: Parts of a language that are ranked separately first.
