@@ -304,6 +304,20 @@ def test_occurrence_report_with_separator(spark):
     assert [r["section"] for r in got] == [1, 1, 2, 3]
 
 
+def test_occurrence_report_spreads_jams_and_sorts_inductions(spark):
+    occ = spark.createDataFrame(
+        [(f"=CBS01.{'IU' if i % 3 == 0 else 'CHU'}{i % 7:03d}+S", f"Jam {i}", "1", i) for i in range(600)],
+        "Part string, Message string, Duration string, Occurrences int").coalesce(1)
+    mapping = spark.createDataFrame([("CHU001", f"A-{i}", i) for i in range(50)], "Beumer string, Amazon string, _pos bigint")
+    got = al.occurrence_report(occ, mapping).select("*", F.spark_partition_id().alias("at")).collect()
+    jams, inductions = [r for r in got if r["section"] == 1], [r for r in got if r["section"] == 3]
+    named = sum(1 for i in range(600) if i % 3 and i % 7 == 1)
+    assert len(jams) == 400 - named + 50 * named
+    assert len({r["at"] for r in jams}) >= 4  # a sort of all rows leaves every jam to one task
+    assert [r["section"] for r in got] == [1] * len(jams) + [3] * 200
+    assert [r["Part"] for r in inductions] == sorted(f"IU{i % 7:03d}" for i in range(0, 600, 3))
+
+
 def test_counts_and_profiles(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("b", 4.0), (None, None)], "t string, v double")
     assert rows(ct.group_size(df, "t")) == [("a", 2), ("b", 1)]
