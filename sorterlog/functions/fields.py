@@ -20,7 +20,7 @@ def as_column(c: Column | str) -> Column:
 
 def scrub(c: Column | str) -> Column:
     """Remove every double quote and every whitespace character."""
-    return F.regexp_replace(as_column(c), r'(?U)["\s\x1c-\x1f]+', "")
+    return F.translate(as_column(c), '"' + WHITESPACE, "")
 
 
 def drop_quotes(c: Column | str) -> Column:

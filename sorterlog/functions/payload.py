@@ -86,6 +86,24 @@ def values_of(pieces: Column | str, trim: bool = True) -> Column:
     return F.transform(as_column(pieces), lambda p: _trimmed(F.substr(p, F.instr(p, ":") + 1), trim))
 
 
+def labels_of(pieces: Column | str, trim: bool = True) -> Column:
+    """Key of each piece with its colon, empty for pieces without a colon; places are those of the pieces."""
+
+    def label(p: Column) -> Column:
+        if not trim:
+            return F.substr(p, F.lit(1), F.instr(p, ":"))
+        return F.when(F.instr(p, ":") > 0, F.concat(strip(F.substring_index(p, ":", 1)), F.lit(":"))).otherwise(F.lit(""))
+
+    return F.transform(as_column(pieces), label)
+
+
+def labelled_value(labels: Column | str, pieces: Column | str, key: str, trim: bool = True) -> Column:
+    """Value of one key from pieces in reverse order and their `labels_of`; a missing key is null."""
+    # A missing key has position 0, and place -1 reads as null.
+    piece = F.get(as_column(pieces), F.array_position(as_column(labels), F.lit(f"{key}:")).cast("int") - 1)
+    return _trimmed(F.substr(piece, F.instr(piece, ":") + 1), trim)
+
+
 def _trimmed(text: Column, trim: bool) -> Column:
     return strip(text) if trim else text
 

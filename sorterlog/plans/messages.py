@@ -65,7 +65,7 @@ def with_payload(records: DataFrame, keys: Sequence[str], raw: str = "rawMessage
                  scrubbed: bool = True) -> DataFrame:
     """Replace the raw message by one string column per key.
 
-    Keys and values are cut once per row; each key is then a position lookup.
+    Keys are cut once per row; each key is then a position lookup, and only the piece found there is cut further.
     Keys that no later step uses are pruned by the optimizer. Text that is
     not `scrubbed` may hold blanks, which are trimmed around keys and values.
     """
@@ -75,10 +75,9 @@ def with_payload(records: DataFrame, keys: Sequence[str], raw: str = "rawMessage
     others = [c for c in records.columns if c != raw]
     return (
         records.select(*others, text.alias("_text"))
-        .select(*others, pl.split_pairs("_text", trim=not scrubbed).alias("_pieces"))
-        .select(*others, pl.key_value_pieces("_pieces").alias("_pairs"))
-        .select(*others, pl.keys_of("_pairs", not scrubbed).alias("_keys"), pl.values_of("_pairs", not scrubbed).alias("_values"))
-        .select(*others, *[pl.value_of("_keys", "_values", k).alias(k) for k in keys])
+        .select(*others, F.reverse(pl.split_pairs("_text", trim=not scrubbed)).alias("_pieces"))
+        .select(*others, "_pieces", pl.labels_of("_pieces", not scrubbed).alias("_labels"))
+        .select(*others, *[pl.labelled_value("_labels", "_pieces", k, not scrubbed).alias(k) for k in keys])
     )
 
 

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sorterlog.functions import clock, fields, payload
+from sorterlog.plans.messages import with_payload
 
 
 def test_scrub_and_quote_removal(one):
@@ -145,3 +146,21 @@ def test_destination_label(spark):
 
 def test_missing_texts(one):
     assert one(["", "NA", "null", "x"], fields.blank_to_null("c")) == [None, None, None, "x"]
+
+
+def test_scrub_removes_every_whitespace_character_without_a_regular_expression(spark, one):
+    odd = [f'a{c}"b{c}' for c in fields.WHITESPACE] + ["", None, "​\U0001f600 x", '""']
+    assert one(odd, fields.scrub("c")) == ["ab"] * len(fields.WHITESPACE) + ["", None, "​\U0001f600x", ""]
+    plan = spark.range(1).select(fields.scrub(F.col("id").cast("string")))._jdf.queryExecution().executedPlan().toString()
+    assert "regexp" not in plan
+
+
+def test_payload_values_are_cut_only_for_wanted_keys(spark):
+    texts = ["->{a:1,b:[x,y],a:2}<", "->{a,b:,c:d:e}<", "->{:z,a:}<", "", None, "->{ab:1,b :2, a : [1,a:9] }<", "->{b:1]x[,a:3}<"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, rawMessage string")
+    for scrubbed, last in ((True, [None, None]), (False, ["[1,a:9]", "2"])):
+        got = with_payload(df, ["a", "b"], scrubbed=scrubbed)
+        found = [[r["a"], r["b"]] for r in got.orderBy("i").collect()]
+        assert found == [["2", "[x,y]"], [None, ""], ["", None], [None, None], [None, None], last, ["3", "1]x["]]
+    plan = with_payload(df, ["a", "b"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "filter(" not in plan and plan.count("transform(") == 1  # pieces are walked once for their keys
