@@ -75,7 +75,7 @@ def with_payload(records: DataFrame, keys: Sequence[str], raw: str = "rawMessage
     others = [c for c in records.columns if c != raw]
     return (
         records.select(*others, text.alias("_text"))
-        .select(*others, F.reverse(pl.split_pairs("_text", trim=not scrubbed)).alias("_pieces"))
+        .select(*others, F.reverse(pl.split_pairs("_text", trim=False)).alias("_pieces"))
         .select(*others, "_pieces", pl.labels_of("_pieces", not scrubbed).alias("_labels"))
         .select(*others, *[pl.labelled_value("_labels", "_pieces", k, not scrubbed).alias(k) for k in keys])
     )
