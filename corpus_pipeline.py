@@ -39,6 +39,7 @@ def judge_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: texts whose 5-word shingles overlap by 0.8 or more are linked.
 
+    Candidates are the links of the vantage-point trees over fingerprints (operator 7) and those of a prefix join; both are verified on the whole sets.
     The smallest key of a group stays, a null key last. Null and empty texts form one group.
     """
     return near_text.keep_first(docs)

@@ -2,8 +2,12 @@
 
 Two texts are linked if their sets of 5-word shingles overlap by at least 4/5
 of their union; groups are the components of all links. Texts with equal sets
-form one class, so copies cost one row. Candidates come from a prefix join:
-with the shingles of every text in one common order, a text of n shingles that
+form one class, so copies cost one row.
+
+The first candidates are those of operator 7 (`simhash.py`): classes whose
+fingerprints its vantage-point trees link, or whose fingerprints are equal. They
+are verified like all others. Near copies with edited words mostly differ in more bits,
+so the other candidates come from a prefix join: with the shingles of every text in one common order, a text of n shingles that
 is linked shares at least ceil(4n/5) of them, so both texts hold a common
 shingle among their first n - ceil(4n/5) + 1. Only prefixes are joined, and of
 these only shingles that two of them may share (a fixed table of bits says so);
@@ -42,6 +46,8 @@ from pyspark.sql import functions as F
 
 from sorterlog.llm.components import components
 from sorterlog.llm.shared import col, fresh, prepare, slices
+from sorterlog.llm.simhash import fingerprint
+from sorterlog.llm.simhash import links as fingerprint_links
 from sorterlog.llm.token_ids import byte_strings
 from sorterlog.operators.sizing import broadcast_if_small
 from sorterlog.sources.staging import stage, unstage
@@ -161,13 +167,13 @@ def frequency_levels(df: DataFrame, text: str) -> np.ndarray:
         width = -(-width // FAN_IN)
         tables = tables.groupBy("part", F.pmod("task", F.lit(width)).alias("some")).applyInPandas(add, schema)
     out = np.zeros((PARTS, size), np.float64)
-    for r in tables.toLocalIterator():  # at most PARTS rows
+    for r in tables.collect():  # at most PARTS rows; toLocalIterator() would run the pass twice and leave its shuffle files
         out[r["part"]] += np.frombuffer(r["counts"], np.uint16)
     return np.log2(out.ravel() + 1).astype(np.uint8)
 
 
 def text_rows(df: DataFrame, key: str, text: str) -> DataFrame:
-    """doc_id, text_hash, cls (equal for equal sets), n, prefix and mask of every row."""
+    """doc_id, text_hash, fp (the fingerprint of operator 7), cls (equal for equal sets), n, prefix and mask of every row."""
     order = prepare(df.sparkSession).sparkContext.broadcast(frequency_levels(df, text))
 
     def each(texts: pd.Series) -> pd.DataFrame:
@@ -179,9 +185,25 @@ def text_rows(df: DataFrame, key: str, text: str) -> DataFrame:
             "mask": [mask(s) for s in sets],
         })
 
+    def prints(texts: pd.Series) -> pd.Series:
+        return pd.Series(np.array([fingerprint(t) for t in texts], np.uint64).view(np.int64))
+
     sets = F.pandas_udf(each, "cls long, n long, prefix array<long>, mask array<long>")
-    rows = df.select(col(key).alias("doc_id"), F.xxhash64(col(text)).alias("text_hash"), sets(col(text)).alias("s"))
-    return rows.select("doc_id", "text_hash", "s.*")
+    rows = df.select(col(key).alias("doc_id"), F.xxhash64(col(text)).alias("text_hash"), F.pandas_udf(prints, "long")(col(text)).alias("fp"), sets(col(text)).alias("s"))
+    return rows.select("doc_id", "text_hash", "fp", "s.*")
+
+
+def fingerprint_pairs(classes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of classes that operator 7 links: stars of its edges between fingerprints, and of the classes of one fingerprint."""
+    first = stage(classes.groupBy("fp").agg(F.min("cls").alias("cls")), "fingerprint-classes")
+    edges = fingerprint_links(first.select("fp"))
+    for side in ("a", "b"):
+        edges = edges.join(first.select(F.col("fp").alias(side), F.col("cls").alias(f"c{side}")), side)
+    equal = classes.select("fp", F.col("cls").alias("ca")).join(first.withColumnRenamed("cls", "cb"), "fp").select("ca", "cb")
+    pairs = edges.select("ca", "cb").union(equal).where("ca <> cb")
+    pairs = stage(pairs.select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).distinct(), "fingerprint-pairs")
+    unstage(first)
+    return pairs
 
 
 def _room(a: str, b: str) -> Column:
@@ -190,13 +212,13 @@ def _room(a: str, b: str) -> Column:
 
 
 def shared_postings(classes: DataFrame) -> DataFrame:
-    """(cls, n, pos, tok) of the prefix shingles that two classes may hold; few others slip through."""
+    """(cls, n, posts) with the places and values (pos, tok) of the prefix shingles that two classes may hold; few others slip through."""
     spark, width = classes.sparkSession, 32768
     held = classes.select(F.explode("prefix").alias("tok")).groupBy("tok").agg(F.count("*").alias("c")).where("c > 1")
     place = (F.shiftrightunsigned("tok", 64 - HELD_BITS) + 1).alias("b")
     found = held.select(place).groupBy(F.expr("bitmap_bucket_number(b)").alias("block")).agg(F.bitmap_construct_agg(F.expr("bitmap_bit_position(b)")).alias("bits"))
     table = np.zeros(1 << HELD_BITS, bool)
-    for r in found.toLocalIterator():  # at most 2^HELD_BITS / 32768 rows
+    for r in found.collect():  # at most 2^HELD_BITS / 32768 rows
         table[(r["block"] - 1) * width : r["block"] * width] = np.unpackbits(np.frombuffer(bytes(r["bits"]), np.uint8), bitorder="little")
     bits = spark.sparkContext.broadcast(np.packbits(table))
 
@@ -208,8 +230,8 @@ def shared_postings(classes: DataFrame) -> DataFrame:
         return pd.Series(out)
 
     kept = classes.select("cls", "n", "prefix", F.pandas_udf(each, "array<int>")("prefix").alias("places"))
-    posted = kept.select("cls", "n", "prefix", F.explode("places").alias("pos"))
-    return posted.select("cls", "n", F.col("pos").cast("long").alias("pos"), F.get("prefix", F.col("pos")).alias("tok"))
+    post = F.transform("places", lambda p: F.struct(p.cast("long").alias("pos"), F.get("prefix", p).alias("tok")))
+    return kept.where(F.size("places") > 0).select("cls", "n", post.alias("posts"))
 
 
 def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -259,12 +281,16 @@ def verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFram
 
 def links(classes: DataFrame, texts: DataFrame) -> DataFrame:
     """(cls, root) for the classes that have a link: the components of all links between classes."""
+    pairs = fingerprint_pairs(classes)
+    edges = verified(pairs, classes, texts)
+    unstage(pairs)
+    roots = None if edges is None else stage(components(edges), "shared-roots")
     shared = held = stage(shared_postings(classes), "shared-shingles")
-    roots = edges = None
     for step in range(STAR_ROUNDS + 1):
         rooted = shared.withColumn("root", F.col("cls"))
-        if roots is not None:
-            rooted = shared.join(roots.select(F.col("node").alias("cls"), F.col("root").alias("r")), "cls", "left").withColumn("root", F.coalesce("r", "cls")).drop("r")
+        if roots is not None:  # classes, not their shingles, meet their roots
+            rooted = shared.join(roots.select(F.col("node").alias("cls"), F.col("root").alias("r")), "cls", "left").withColumn("root", F.coalesce("r", "cls"))
+        rooted = rooted.select("cls", "n", "root", F.inline("posts"))
         one = F.struct(F.xxhash64("cls", F.lit(step)).alias("h"), "cls", "n", "pos", "root")
         by_root = rooted.groupBy("tok", "root").agg(F.count("*").alias("c"), F.min(one).alias("one"))
         most = F.max(F.struct("c", "root"))
@@ -294,7 +320,7 @@ def links(classes: DataFrame, texts: DataFrame) -> DataFrame:
             roots = stage(components(edges), "shared-roots")
         if every:
             break
-        shared = open_.drop("big", "one", "root")
+        shared = open_.groupBy("cls", "n").agg(F.collect_list(F.struct("pos", "tok")).alias("posts"))
     unstage(held)
     return roots if roots is not None else classes.select(F.col("cls").alias("node"), F.col("cls").alias("root")).limit(0)
 
@@ -303,7 +329,7 @@ def keep_first(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     """One row of each group of linked texts stays, one with the group's smallest key; the columns stay as they are."""
     rows = text_rows(df, key, text)
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
-    classes = stage(rows.groupBy("cls").agg(F.min(order).alias("least"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("mask").alias("mask")), "text-classes")
+    classes = stage(rows.groupBy("cls").agg(F.min(order).alias("least"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("mask").alias("mask"), F.min("fp").alias("fp")), "text-classes")
     texts = df.select(col(key).alias("doc_id"), F.xxhash64(col(text)).alias("text_hash"), col(text).alias("text"))
     roots = links(classes, texts).withColumnRenamed("node", "cls")
     rooted = classes.select("cls", "least").join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))

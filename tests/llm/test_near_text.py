@@ -83,3 +83,39 @@ def test_prefix_holds_a_shared_shingle_whatever_the_order():
         if 5 * len(np.intersect1d(a, b)) >= 4 * len(np.union1d(a, b)):
             levels = rng.integers(0, 9, 1 << near_text.FREQUENCY_BITS).astype(np.uint8)
             assert len(np.intersect1d(near_text.prefix(a, levels), near_text.prefix(b, levels)))
+
+
+def test_fingerprints_of_the_trees_give_candidates_that_are_verified(spark, monkeypatch):
+    """Texts whose fingerprints link are tried first; those whose sets overlap too little stay apart."""
+    twice = " ".join(f"u{i}" for i in range(40))
+    rows = [(1, twice, "xx", "s"), (2, f"{twice} {twice}", "xx", "s"), (3, "p q r", "xx", "s"), (4, "p q r s", "xx", "s")]
+    assert plain_kept(rows) == [1, 3, 4]
+    df = spark.createDataFrame(rows, DOCS)
+    monkeypatch.setattr(near_text, "fingerprint", lambda text: 3 + len(text or "") % 2)  # all within two bits
+    found, tried = [], near_text.verified
+
+    def seen(pairs, classes, texts):
+        found.append(pairs.count())
+        return tried(pairs, classes, texts)
+
+    monkeypatch.setattr(near_text, "verified", seen)
+    assert sorted(r["doc_id"] for r in corpus_pipeline.drop_near_duplicates(spark, df, "").collect()) == [1, 3, 4]
+    assert found[0] == 3  # a star of all four
+
+
+def test_classes_meet_their_roots_before_their_shingles_are_laid_out(spark, monkeypatch):
+    """The join with the roots has one row per class, however many shingles the texts share."""
+    rows = planted()
+    df = spark.createDataFrame(rows, DOCS)
+    monkeypatch.setattr(near_text, "PAIRS_A_ROW", 0)
+    sizes, staged = {}, near_text.stage
+
+    def seen(table, name):
+        out = staged(table, name)
+        sizes.setdefault(name, []).append((out.count(), out.columns))
+        return out
+
+    monkeypatch.setattr(near_text, "stage", seen)
+    assert sorted(r["doc_id"] for r in near_text.keep_first(df).collect()) == plain_kept(rows)
+    (n, columns), = sizes["shared-shingles"]
+    assert n <= sizes["text-classes"][0][0] and columns == ["cls", "n", "posts"]
