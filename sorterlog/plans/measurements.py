@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,31 +43,49 @@ def item_measurements(
     prune: bool = False,
     slices: int | None = None,
 ) -> Tables:
-    """Profiles, threshold counts and gap distributions of measured items."""
-    rows = stage(measurement_rows(logs), "measurements")
-    clean = drop_constant_columns(rows, all_null=True, protect=[*fv.MEASUREMENT_KEYS, "timeStamp"]) if prune else rows
-    complete = clean.dropna(subset=MEASURES)
-    points = complete if sample_rows is None else seeded_sample(complete, [ORDER], sample_rows)
+    """Profiles, threshold counts and gap distributions of measured items.
+
+    Lines are parsed when a table is first asked for. Tables of the measures need only their keys
+    parsed; `categorical_profile`, `clean_data` and `prune` need every field. What is parsed whole is not parsed again.
+    """
+    rows = measurement_rows(logs)
+
+    @functools.cache
+    def clean() -> DataFrame:
+        whole = stage(rows, "measurements")
+        return drop_constant_columns(whole, all_null=True, protect=[*fv.MEASUREMENT_KEYS, "timeStamp"]) if prune else whole
+
+    @functools.cache
+    def measured() -> DataFrame:
+        if prune or clean.cache_info().currsize:
+            return clean()
+        return stage(rows.select([c for c in rows.columns if c in (ORDER, *fv.MEASUREMENT_KEYS)]), "measures")  # the order stays: it keeps filters above the cut
+
+    def complete() -> DataFrame:
+        return measured().dropna(subset=MEASURES)
+
+    def points() -> DataFrame:
+        return complete() if sample_rows is None else seeded_sample(complete(), [ORDER], sample_rows)
+
     chosen = fv.AUTO_INDUCTIONS if inductions is None else inductions
-    lines = clean.where(F.col("inductionNo").isin(chosen))
     probs = {quantile_name(p): p for p in fv.GAP_QUANTILES}
     tables: Tables = Tables({
-        "numeric_profile": lambda: numeric_profile(clean, [*MEASURES, "noOfCarriers"], slices=slices),
-        "categorical_profile": lambda: categorical_profile(clean, text_columns(clean)),
-        "threshold_counts": lambda: threshold_counts(complete, {
+        "numeric_profile": lambda: numeric_profile(measured(), [*MEASURES, "noOfCarriers"], slices=slices),
+        "categorical_profile": lambda: categorical_profile(clean(), text_columns(clean())),
+        "threshold_counts": lambda: threshold_counts(complete(), {
             "length_width": ["length", "width"],
             "length_position": ["length", "positionFront"],
             "width_position": ["width", "positionFront"],
             "all": MEASURES,
         }),
-        "points": lambda: points.select(*MEASURES, "noOfCarriers"),
-        "gaps": lambda: stage(sp.position_gaps(lines, "inductionNo", "positionFront", slices), "gaps"),
+        "points": lambda: points().select(*MEASURES, "noOfCarriers"),
+        "gaps": lambda: stage(sp.position_gaps(measured().where(F.col("inductionNo").isin(chosen)), "inductionNo", "positionFront", slices), "gaps"),
         "gap_counts": lambda: sp.bin_matrix(sp.auto_scale(tables["gaps"], "gap", slices), "inductionNo"),
         "gap_quantiles": lambda: tables["gap_description"].select(*probs),
         "gap_description": lambda: sp.describe(tables["gaps"], "gap", probs, slices),
         "gap_histogram": lambda: sp.equal_width_histogram(tables["gaps"], "inductionNo", "gap", 50),
         "gap_quartiles": lambda: quantiles(
             tables["gaps"], "gap", {"p25": 0.25, "p50": 0.5, "p75": 0.75}, ["inductionNo"], slices),
-        "clean_data": lambda: clean,
+        "clean_data": clean,
     })
     return tables

@@ -7,12 +7,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from sorterlog.operators.fixes import EXPLANATION
-from sorterlog.plans import alarm_reports, messages
+from sorterlog.plans import alarm_reports, measurements, messages
 from sorterlog.plans.destinations import bypass_spacing, s02_destinations
 from sorterlog.plans.induction import induction_rate, single_line_rate
 from sorterlog.plans.measurements import item_measurements
 from sorterlog.plans.sort_report import s04_analysis, s04_barcode_analysis, s04_first_element_analysis
-from sorterlog.sources.logs import read_flat_export, read_log_monitor
+from sorterlog.sources.logs import ORDER, read_flat_export, read_log_monitor
 from tests.conftest import rows
 
 T0 = datetime(2025, 9, 23, 10, 0, 0)
@@ -220,3 +220,25 @@ def test_payload_keys_and_filter_counts(logs):
     df = logs(SORT_LINES)
     assert "itemID" in {r[0] for r in messages.payload_keys(messages.records_of(df, "54177")).collect()}
     assert tuple(messages.filter_counts(df, "54177").first()) == (8, 1)
+
+
+def test_measures_are_parsed_without_the_other_fields(logs, monkeypatch):
+    """Tables of the measures store only what they use; a table of every field is parsed once and then serves them too."""
+    lines = [line(T0, 50102, f"inductionNo:5,length:{i},width:{i % 7},positionFront:{i * i},noOfCarriers:1") for i in range(40)]
+    written, staged = [], measurements.stage
+
+    def seen(table, name):
+        written.append((name, set(table.columns)))
+        return staged(table, name)
+
+    monkeypatch.setattr(measurements, "stage", seen)
+    narrow = item_measurements(logs(lines))
+    assert written == []
+    got = {n: rows(narrow[n]) for n in ("points", "threshold_counts", "numeric_profile", "gap_description", "gap_counts", "gap_histogram", "gap_quartiles")}
+    parsed = [c for n, c in written if n.startswith("measure")]
+    assert parsed == [{ORDER, "inductionNo", "length", "width", "positionFront", "noOfCarriers"}]
+    written.clear()
+    whole = item_measurements(logs(lines))
+    assert {"timeStamp", "sequenceNo", "length"} <= set(whole["clean_data"].columns)
+    assert {n: rows(whole[n]) for n in got} == got
+    assert [n for n, _ in written if n.startswith("measure")] == ["measurements"]
