@@ -54,7 +54,7 @@ from sorterlog.sources.staging import stage, unstage
 
 WIDTH = 5
 #: Characters whose words are hashed at once; a worker holds some arrays of that length.
-CHUNK = 1_000_000
+CHUNK = 250_000
 #: Buckets that count how frequent shingles are, and buckets that tell which are held twice, as powers of two.
 FREQUENCY_BITS, HELD_BITS = 22, 26
 #: Parts of the table of frequencies that are summed separately, and tables that are summed at once.
@@ -231,7 +231,7 @@ def shared_postings(classes: DataFrame) -> DataFrame:
 
     kept = classes.select("cls", "n", "prefix", F.pandas_udf(each, "array<int>")("prefix").alias("places"))
     post = F.transform("places", lambda p: F.struct(p.cast("long").alias("pos"), F.get("prefix", p).alias("tok")))
-    return kept.where(F.size("places") > 0).select("cls", "n", post.alias("posts"))
+    return kept.select("cls", "n", post.alias("posts"))  # a filter on the places would be pushed down and run the function twice
 
 
 def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ construction, with vertical partitioning.
    2^24 bits says which may be frequent). Suffixes are grouped by
    their first word; a heavy beginning is divided by its next word, again and
    again, so each group stays within a memory budget however uneven the words are. Equal suffixes of a stretch of text
-   travel as one row, rows with one beginning side by side, and the `CODES` most frequent words as one character each.
+   travel once, those of a stretch that go to the same place in one row, in order, and the `CODES` most frequent words as one character each.
 3. Each group is sorted by itself. In sorted order the suffixes are the leaves
    of a suffix tree cut at depth five, and every inner node is a stretch of
    them; its count is the sum of its leaves. Groups are read as streams.
@@ -51,6 +51,8 @@ TOP = 2000
 SHARE = 2048
 #: Suffixes of one group, about.
 GROUP = 4_000_000
+#: Places for each partition, so that hashing them deals out evenly.
+PLACES = 4
 #: Buckets of words that may be frequent, as a power of two.
 BUCKET_BITS = 24
 #: Bytes of text of a language that are cut at once, bytes of all languages that wait for it, and suffix rows that are counted at once.
@@ -260,8 +262,8 @@ def decoded(phrase: bytes, words: list[bytes]) -> bytes:
     return b" ".join(p[1:] if p[:1] == PLAIN else words[ord(p.decode()) - FIRST_CODE] for p in parts)
 
 
-def grouped(table: DataFrame, frequent: np.ndarray, heavy: list[np.ndarray], common: list[tuple[str, bytes]]) -> DataFrame:
-    """(beginning, depth, lang, suffix, n); every word of a suffix is coded and followed by a blank."""
+def grouped(table: DataFrame, frequent: np.ndarray, heavy: list[np.ndarray], common: list[tuple[str, bytes]], places: int) -> DataFrame:
+    """(place, depth, lang, suffixes, counts): what a stretch has for one of `places`; every word of a suffix is coded and followed by a blank, suffixes end at line ends, which no word has."""
     shared = table.sparkSession.sparkContext.broadcast((frequent, heavy, common))
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -272,15 +274,27 @@ def grouped(table: DataFrame, frequent: np.ndarray, heavy: list[np.ndarray], com
         for lang, words in by_language(batches):
             at, size, group, depth, count = suffixes(words, frequent, heavy)
             words = coded(words, codes.get(lang, {}))
-            for a in range(0, len(at), BLOCK):
-                some = slice(a, a + BLOCK)
-                ends = words.begin[at[some] + size[some]].tolist()
-                texts = [words.data[i:j] for i, j in zip(words.begin[at[some]].tolist(), ends, strict=True)]
-                yield pa.record_batch([
-                    pa.array(group[some].view(np.int64)), pa.array(depth[some]), pa.array([lang] * len(texts), pa.string()), strings(texts), pa.array(count[some], pa.int64()),
-                ], ["beginning", "depth", "lang", "suffix", "n"])
+            place = (group % np.uint64(places)).astype(np.int64)  # all suffixes of a beginning go to one place
+            order = np.argsort(place * (LONGEST + 1) + depth, kind="stable")
+            cuts = np.append(np.flatnonzero(np.diff(place[order] * (LONGEST + 1) + depth[order], prepend=-1)), len(order)).tolist()
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                for i in range(a, b, BLOCK):
+                    some = order[i : min(b, i + BLOCK)]
+                    ends = words.begin[at[some] + size[some]].tolist()
+                    texts = b"\n".join([words.data[i:j] for i, j in zip(words.begin[at[some]].tolist(), ends, strict=True)])
+                    one = some[:1]
+                    yield pa.record_batch([
+                        pa.array(place[one].astype(np.int32)), pa.array(depth[one]), pa.array([lang], pa.string()), strings([texts]), pa.array([count[some].astype(np.int32)], pa.list_(pa.int32())),
+                    ], ["place", "depth", "lang", "suffixes", "counts"])
 
-    return table.mapInArrow(each, "beginning long, depth byte, lang string, suffix string, n long")
+    return table.mapInArrow(each, "place int, depth byte, lang string, suffixes string, counts array<int>")
+
+
+def laid_out(blocks: DataFrame) -> DataFrame:
+    """(depth, lang, suffix, n) of the rows of `grouped`."""
+    pair = F.arrays_zip(F.split("suffixes", "\n").alias("suffix"), F.col("counts").alias("n"))
+    each = blocks.select("depth", "lang", F.explode(pair).alias("s"))
+    return each.select("depth", "lang", "s.suffix", F.col("s.n").cast("long").alias("n"))
 
 
 class Tree:
@@ -393,9 +407,9 @@ def frequent_phrases(df: DataFrame, text: str = "text", lang: str = "lang", leas
     total = totals.agg(F.coalesce(F.sum("total"), F.lit(0))).first()[0]
     heavy = known.where(F.col("n") * 2 * SHARE > total).select("lang", "phrase").collect()  # at most 2 SHARE for each size
     common = [(r["lang"], r["phrase"].encode()) for r in words.orderBy(F.desc("n"), "lang", "phrase").limit(CODES).select("lang", "phrase").collect()]
-    spread = grouped(table, maybe_frequent(words, least), heavy_hashes([tuple(r) for r in heavy]), common)
     groups = max(df.sparkSession.sparkContext.defaultParallelism, -(-total // GROUP))
-    leaves = spread.repartition(groups, "beginning").sortWithinPartitions("lang", "suffix")
+    spread = grouped(table, maybe_frequent(words, least), heavy_hashes([tuple(r) for r in heavy]), common, groups * PLACES)
+    leaves = laid_out(spread.repartition(groups, "place")).sortWithinPartitions("lang", "suffix")
     nodes = node_counts(leaves, least, common).groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n"))
     frequent = nodes.unionByName(words.select("lang", "phrase", "size", "n")).where(F.col("n") >= least)
     return stage(frequent, "frequent-phrases"), totals

@@ -25,7 +25,7 @@ from sorterlog.llm.shared import code_points, slices
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 END = 2
-CHUNK = 3_000_000
+CHUNK = 500_000
 #: Pre-tokens whose ids a worker remembers; it starts anew beyond.
 MEMORY = 600_000
 SPACE, APOSTROPHE = ord(" "), ord("'")

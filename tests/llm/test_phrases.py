@@ -85,3 +85,22 @@ def test_sql_equals_brute_force():
         c.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, lang VARCHAR, source VARCHAR)")
         c.executemany("INSERT INTO documents VALUES (?, ?, ?, ?)", rows)
         assert sorted(c.sql(oracles.PHRASES).fetchall()) == brute(rows)
+
+
+def test_suffixes_of_a_stretch_travel_in_one_row_for_each_place(spark, monkeypatch):
+    """What is shuffled are blocks of suffixes in order, and they lay out to every suffix with its count."""
+    sizes, grouped = [], phrases.grouped
+
+    def seen(*args):
+        blocks = grouped(*args)
+        rows = blocks.collect()
+        leaves = phrases.laid_out(blocks).collect()
+        assert len(leaves) == sum(len(r["counts"]) for r in rows) and all(r["suffix"].endswith(" ") and r["n"] > 0 for r in leaves)
+        sizes.append((len(rows), len(leaves), len({(r["place"], r["depth"], r["lang"]) for r in rows})))
+        return blocks
+
+    monkeypatch.setattr(phrases, "grouped", seen)
+    rows = prose()
+    assert sorted(map(tuple, phrases.collocations(documents(spark, rows).coalesce(1), least=20).collect())) == brute(rows, 20)
+    (blocks, leaves, kinds), = sizes
+    assert blocks == kinds < leaves / 5
