@@ -20,9 +20,12 @@ The order puts frequent shingles last: a table of `FREQUENCY_BITS` buckets
 counts the shingles of all texts. It affects only how many candidates
 there are, never which links are found.
 
-A shingle that many prefixes share is not paired at once: first all its texts
+Of shingles that the very same prefixes share only the first one is tried: it stands before the others
+in each of them, so it leaves the most room. Near copies share most of their prefixes, so this makes a pair
+once, not once for each common shingle. A shingle that many prefixes share is not paired at once: first all its texts
 are tried against one of them, and texts that links have already joined need
-no further trial. Such rounds go on while too many pairs are open, then all
+no further trial. Such rounds go on while too many pairs are open and each round
+leaves half of them or fewer (texts that only share a common line are never joined), then all
 pairs that are still in different groups are tried. Verification goes the same
 way: each text first against one partner, then only pairs in different
 groups. So the groups are exact. Tables of a round are deleted after it.
@@ -62,6 +65,8 @@ PARTS, FAN_IN = 64, 64
 STAR_ROUNDS = 3
 VERIFY_ROUNDS = 3
 PAIRS_A_ROW = 8
+#: Likely pairs that are compared at once: so many for each set, or so many in all. More are tried in rounds.
+PAIRS_A_SET, PAIRS_AT_ONCE = 2, 20_000
 #: Copies of a set, at most, that meet the many partners it may have.
 SALTS = 64
 LEAST_MASK, MASK_SHARE = 64, 4
@@ -140,7 +145,11 @@ def differing_bits(a: str, b: str) -> Column:
 
 
 def frequency_levels(df: DataFrame, text: str) -> np.ndarray:
-    """For each bucket the logarithm of how many texts' shingles fall into it, counted over all texts."""
+    """For each bucket how many texts' shingles fall into it, counted over all texts, 65,535 at most.
+
+    As the input grows, every bucket fills with rare shingles. A count of its own still shows through then
+    (it adds to a sum that varies by its root only), which a logarithm of the sum would hide.
+    """
     size = (1 << FREQUENCY_BITS) // PARTS
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -169,7 +178,7 @@ def frequency_levels(df: DataFrame, text: str) -> np.ndarray:
     out = np.zeros((PARTS, size), np.float64)
     for r in tables.collect():  # at most PARTS rows; toLocalIterator() would run the pass twice and leave its shuffle files
         out[r["part"]] += np.frombuffer(r["counts"], np.uint16)
-    return np.log2(out.ravel() + 1).astype(np.uint8)
+    return np.minimum(out.ravel(), 65535).astype(np.uint16)
 
 
 def text_rows(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -253,16 +262,19 @@ def verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFram
         pairs = pairs.join(classes.select(F.col("cls").alias(side), F.col("n").alias(f"n{side}"), F.col("mask").alias(f"m{side}")), side)
     size = F.greatest("na", "nb") * 4 <= F.least("na", "nb") * 5
     open_ = stage(pairs.where(size & (9 * differing_bits("ma", "mb") <= F.col("na") + F.col("nb"))).select("a", "b"), "likely-pairs")
+    if open_.isEmpty():
+        unstage(open_)
+        return None
     nodes = open_.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
     wanted = stage(classes.join(nodes, "cls", "left_semi").select("cls", F.col("least.doc_id").alias("id"), F.col("least.text_hash").alias("h")), "wanted")
     same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("h"))
     chosen = texts.join(broadcast_if_small(wanted), same).select("cls", "text").dropDuplicates(["cls"])
     sets = stage(chosen.select("cls", F.pandas_udf(each, "array<long>")("text").alias("shingles")), "shingle-sets")
-    links = None
-    for step in range(VERIFY_ROUNDS + 1):
+    links, rounds = None, VERIFY_ROUNDS if open_.count() > max(PAIRS_AT_ONCE, PAIRS_A_SET * wanted.count()) else 0
+    for step in range(rounds + 1):
         if open_.isEmpty():
             break
-        last = step == VERIFY_ROUNDS
+        last = step == rounds
         some = open_ if last else open_.groupBy("b").agg(F.min("a").alias("a"))
         found = stage(compared(some, sets), "text-links")
         links = found if links is None else links.union(found)
@@ -286,26 +298,32 @@ def links(classes: DataFrame, texts: DataFrame) -> DataFrame:
     unstage(pairs)
     roots = None if edges is None else stage(components(edges), "shared-roots")
     shared = held = stage(shared_postings(classes), "shared-shingles")
+    before = None
     for step in range(STAR_ROUNDS + 1):
         rooted = shared.withColumn("root", F.col("cls"))
         if roots is not None:  # classes, not their shingles, meet their roots
             rooted = shared.join(roots.select(F.col("node").alias("cls"), F.col("root").alias("r")), "cls", "left").withColumn("root", F.coalesce("r", "cls"))
         rooted = rooted.select("cls", "n", "root", F.inline("posts"))
         one = F.struct(F.xxhash64("cls", F.lit(step)).alias("h"), "cls", "n", "pos", "root")
-        by_root = rooted.groupBy("tok", "root").agg(F.count("*").alias("c"), F.min(one).alias("one"))
+        held_by = [F.xxhash64("cls", F.lit(seed)) for seed in ("g", "h")]
+        by_root = rooted.groupBy("tok", "root").agg(F.count("*").alias("c"), F.min(one).alias("one"), *[F.bit_xor(v).alias(k) for k, v in zip("gh", held_by, strict=True)])
         most = F.max(F.struct("c", "root"))
         tops = by_root.groupBy("tok").agg(
             F.sum("c").alias("rows"), most["root"].alias("big"), most["c"].alias("big_rows"), F.min("one").alias("one"), F.count("*").alias("groups"),
-        ).where("groups > 1")
-        tops = stage(tops, "shared-tops")  # shingles whose texts are not yet in one group
-        total = tops.agg(F.sum("rows").alias("rows"), F.sum(F.expr("(rows - big_rows) * rows")).alias("pairs")).first()
+            F.bit_xor("g").alias("g"), F.bit_xor("h").alias("h"),
+        ).where("groups > 1")  # shingles whose texts are not yet in one group
+        first = F.min_by(F.struct("tok", "big", "big_rows", "one"), "one.pos").alias("first")
+        tops = stage(tops.groupBy("rows", "g", "h").agg(first, F.count("*").alias("alike")).select("rows", "alike", "first.*"), "shared-tops")
+        total = tops.agg(F.sum(F.expr("rows * alike")).alias("rows"), F.sum(F.expr("(rows - big_rows) * rows")).alias("pairs")).first()
         if not total["rows"]:
             unstage(tops)
             break
         open_ = stage(rooted.join(tops.select("tok", "big", "one"), "tok"), "shared-open")
         unstage(held, tops)
         held = open_
-        every = step == STAR_ROUNDS or total["pairs"] <= PAIRS_A_ROW * total["rows"]
+        idle = before is not None and 2 * total["pairs"] > before
+        every = step == STAR_ROUNDS or idle or total["pairs"] <= PAIRS_A_ROW * total["rows"]
+        before = total["pairs"]
         if every:
             x = open_.where("root <> big").select("tok", F.struct("cls", "n", "pos", "root").alias("x"))
             y = open_.select("tok", "big", F.struct("cls", "n", "pos", "root").alias("y"))

@@ -119,3 +119,62 @@ def test_classes_meet_their_roots_before_their_shingles_are_laid_out(spark, monk
     assert sorted(r["doc_id"] for r in near_text.keep_first(df).collect()) == plain_kept(rows)
     (n, columns), = sizes["shared-shingles"]
     assert n <= sizes["text-classes"][0][0] and columns == ["cls", "n", "posts"]
+
+
+def recorded(monkeypatch):
+    """Names of the tables that are staged from now on, with their rows."""
+    sizes, staged = [], near_text.stage
+
+    def seen(table, name):
+        out = staged(table, name)
+        sizes.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(near_text, "stage", seen)
+    return sizes
+
+
+def test_frequencies_are_counts_not_their_logarithm(spark, monkeypatch):
+    """Where every bucket is full of rare shingles, a logarithm would not show which one holds a frequent shingle too."""
+    monkeypatch.setattr(near_text, "FREQUENCY_BITS", 6)
+    texts = [r[1] for r in planted()]
+    want = np.zeros(64, np.int64)
+    for s in near_text.shingle_sets(texts):
+        np.add.at(want, near_text.bucket(s, 6), 1)
+    assert near_text.frequency_levels(spark.createDataFrame([(t,) for t in texts], "text string"), "text").tolist() == want.tolist()
+
+
+def test_shingles_of_the_same_prefixes_make_a_pair_once(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    rows = []
+    for key in range(0, 40, 2):
+        words = [f"v{i}" for i in rng.integers(0, 100_000, 120)]
+        rows += [(key, " ".join(words), "xx", "s"), (key + 1, " ".join([*words[:60], "edited", *words[61:]]), "xx", "s")]
+    monkeypatch.setattr(near_text, "fingerprint", lambda text: near_text.xxhash.xxh64_intdigest(text))  # no links from the trees
+    sizes = recorded(monkeypatch)
+    assert sorted(r["doc_id"] for r in near_text.keep_first(spark.createDataFrame(rows, DOCS)).collect()) == plain_kept(rows) == list(range(0, 40, 2))
+    assert [n for name, n in sizes if name == "shared-open"] == [40]  # 20 pairs; each has more than ten common shingles in its prefixes
+
+
+def test_few_likely_pairs_are_compared_at_once(spark, monkeypatch):
+    rows = planted()
+    df, want = spark.createDataFrame(rows, DOCS), plain_kept(rows)
+    calls, found = [], near_text.components
+    monkeypatch.setattr(near_text, "components", lambda edges: calls.append(1) or found(edges))
+    sizes = recorded(monkeypatch)
+    assert sorted(r["doc_id"] for r in near_text.keep_first(df).collect()) == want
+    assert len(calls) == sum(name == "shared-roots" for name, _ in sizes)
+    monkeypatch.setattr(near_text, "PAIRS_AT_ONCE", 0)
+    monkeypatch.setattr(near_text, "PAIRS_A_SET", 0)
+    assert sorted(r["doc_id"] for r in near_text.keep_first(df).collect()) == want
+
+
+def test_rounds_end_when_texts_that_share_a_line_are_unlike(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    line = "every text here starts with this very common line"
+    rows = [(i, " ".join([line, *(f"v{j}" for j in rng.integers(0, 100_000, 8))]), "xx", "s") for i in range(60)]
+    monkeypatch.setattr(near_text, "PAIRS_A_ROW", 0)
+    monkeypatch.setattr(near_text, "prefix", lambda shingles, levels: shingles)  # so that the line's shingles are in it
+    sizes = recorded(monkeypatch)
+    assert near_text.keep_first(spark.createDataFrame(rows, DOCS)).count() == 60
+    assert [name for name, _ in sizes].count("shared-tops") == 2
