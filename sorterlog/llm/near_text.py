@@ -313,8 +313,8 @@ def links(classes: DataFrame, texts: DataFrame) -> DataFrame:
             F.bit_xor("g").alias("g"), F.bit_xor("h").alias("h"),
         ).where("groups > 1")  # shingles whose texts are not yet in one group
         first = F.min_by(F.struct("tok", "big", "big_rows", "one"), "one.pos").alias("first")
-        tops = stage(tops.groupBy("rows", "g", "h").agg(first, F.count("*").alias("alike")).select("rows", "alike", "first.*"), "shared-tops")
-        total = tops.agg(F.sum(F.expr("rows * alike")).alias("rows"), F.sum(F.expr("(rows - big_rows) * rows")).alias("pairs")).first()
+        tops = stage(tops.groupBy("rows", "g", "h").agg(first).select("rows", "first.*"), "shared-tops")
+        total = tops.agg(F.sum("rows").alias("rows"), F.sum(F.expr("(rows - big_rows) * rows")).alias("pairs")).first()
         if not total["rows"]:
             unstage(tops)
             break
