@@ -1,5 +1,6 @@
 """Operators against plain pandas on small random tables with one hot key."""
 
+import collections
 from datetime import datetime, timedelta
 
 import numpy as np
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from sorterlog.operators import alarms as al
 from sorterlog.operators import counts as ct
 from sorterlog.operators import fixes as fx
+from sorterlog.operators import lookup as lk
 from sorterlog.operators import ordered
 from sorterlog.operators import package_metrics as pm
 from sorterlog.operators import quantiles as qu
@@ -318,6 +320,32 @@ def test_occurrence_report_spreads_jams_and_sorts_inductions(spark):
     assert [r["Part"] for r in inductions] == sorted(f"IU{i % 7:03d}" for i in range(0, 600, 3))
 
 
+def test_join_by_own_name_in_blocks_is_a_plain_join(spark, monkeypatch):
+    rows_ = [(None if i % 11 == 0 else f"u{i % 7}", i, None if i % 5 == 0 else f"t{i % 3}") for i in range(700)] + [("u1", 1, "t1")] * 600
+    df = spark.createDataFrame(rows_, "unit string, `n.o` int, more string").repartition(3)
+    names = [("u1", f"A{i}", i) for i in range(150)] + [("u2", None, 200), ("u3", "B", 201), ("u3", "C", 202), ("u3", "C", 203), (None, "D", 204), ("u9", "E", 205)]
+    mapping = spark.createDataFrame(names, "Beumer string, Amazon string, _pos bigint")
+    for few in (True, False):
+        monkeypatch.setattr(lk, "is_small", lambda d, few=few: few)
+        for dedupe in (False, True):
+            got = lk.join_by_own_name(df, mapping, "unit", dedupe)
+            assert got.columns == ["unit", "n.o", "more", "Beumer", "Amazon"]
+            known = {n[0]: n[:2] for n in names}.values() if dedupe else [n[:2] for n in names]
+            want = [r + n for r in rows_ for n in ([k for k in known if k[0] == r[0] and r[0]] or [(None, None)])]
+            assert collections.Counter(map(tuple, got.collect())) == collections.Counter(want)
+    assert lk.join_by_own_name(df.limit(0), mapping, "unit").count() == 0
+    assert lk.join_by_own_name(df, mapping.limit(0), "unit").where("Beumer is null and Amazon is null").count() == len(rows_)
+
+
+def test_jams_that_fan_out_are_stored_in_little_space(spark, tmp_path):
+    occ = spark.createDataFrame([(f"=CBS01.CHU{i % 2:03d}+S", f"Jam {i}", str(i % 50), str(i)) for i in range(600)], "Part string, Message string, Duration string, Occurrences string")
+    mapping = spark.createDataFrame([(f"CHU{i % 2:03d}", f"Customer {i:06d}", i) for i in range(4000)], "Beumer string, Amazon string, _pos bigint")
+    al.occurrence_report(occ, mapping).select("MappingString", "Occurrences", "Duration").write.parquet(f"{tmp_path}/report")
+    rows_ = spark.read.parquet(f"{tmp_path}/report").count()
+    stored = sum(f.stat().st_size for f in tmp_path.rglob("*.parquet"))
+    assert rows_ == 1_200_000 and stored < 0.75 * rows_  # name after name for each jam takes 1.3 bytes a row or more
+
+
 def test_counts_and_profiles(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("b", 4.0), (None, None)], "t string, v double")
     assert rows(ct.group_size(df, "t")) == [("a", 2), ("b", 1)]
