@@ -23,10 +23,10 @@ there are, never which links are found.
 Of shingles that the very same prefixes share only the first one is tried: it stands before the others
 in each of them, so it leaves the most room. Near copies share most of their prefixes, so this makes a pair
 once, not once for each common shingle. A shingle that many prefixes share is not paired at once: first all its texts
-are tried against one of them, and texts that links have already joined need
-no further trial. Such rounds go on while too many pairs are open and each round
-leaves half of them or fewer (texts that only share a common line are never joined), then all
-pairs that are still in different groups are tried. Verification goes the same
+are tried against one of them, a text of its largest group, which differs between shingles and rounds, and texts that links
+have already joined need no further trial. Such rounds go on while too many pairs are open and each round
+leaves nine tenths of them or fewer (texts that only share a common line are never joined), then all
+pairs that are still in different groups are tried; of a shingle that makes very many of them only those that sizes and masks do not rule out are laid out. Verification goes the same
 way: each text first against one partner, then only pairs in different
 groups. So the groups are exact. Tables of a round are deleted after it.
 
@@ -65,6 +65,10 @@ PARTS, FAN_IN = 64, 64
 STAR_ROUNDS = 3
 VERIFY_ROUNDS = 3
 PAIRS_A_ROW = 8
+#: Different texts that the texts of the same shingles are tried against in a round, at most.
+CENTRES = 4
+#: Pairs of one shingle from which on masks are looked at before a pair is laid out.
+HOT_PAIRS = 10_000
 #: Likely pairs that are compared at once: so many for each set, or so many in all. More are tried in rounds.
 PAIRS_A_SET, PAIRS_AT_ONCE = 2, 20_000
 #: Copies of a set, at most, that meet the many partners it may have.
@@ -145,9 +149,10 @@ def differing_bits(a: str, b: str) -> Column:
 
 
 def frequency_levels(df: DataFrame, text: str) -> np.ndarray:
-    """For each bucket how many texts' shingles fall into it, counted over all texts, 65,535 at most.
+    """For each bucket how many texts' shingles fall into it, counted over all texts, 65,535 at most; only how they compare matters.
 
-    As the input grows, every bucket fills with rare shingles. A count of its own still shows through then
+    While half of the buckets or more are empty, a logarithm in one byte tells enough. As the input grows, every bucket
+    fills with rare shingles. A count of its own still shows through then
     (it adds to a sum that varies by its root only), which a logarithm of the sum would hide.
     """
     size = (1 << FREQUENCY_BITS) // PARTS
@@ -178,6 +183,8 @@ def frequency_levels(df: DataFrame, text: str) -> np.ndarray:
     out = np.zeros((PARTS, size), np.float64)
     for r in tables.collect():  # at most PARTS rows; toLocalIterator() would run the pass twice and leave its shuffle files
         out[r["part"]] += np.frombuffer(r["counts"], np.uint16)
+    if 2 * np.count_nonzero(out) <= out.size:
+        return np.log2(out.ravel() + 1).astype(np.uint8)
     return np.minimum(out.ravel(), 65535).astype(np.uint16)
 
 
@@ -220,6 +227,12 @@ def _room(a: str, b: str) -> Column:
     return 9 * F.least(F.expr(f"{a}.n - {a}.pos"), F.expr(f"{b}.n - {b}.pos")) >= 4 * F.expr(f"{a}.n + {b}.n")
 
 
+def _likely(na: str, nb: str, ma: str, mb: str) -> Column:
+    """Whether sizes and masks leave it open that two sets are similar enough."""
+    size = F.greatest(na, nb) * 4 <= F.least(na, nb) * 5
+    return size & (9 * differing_bits(ma, mb) <= F.col(na) + F.col(nb))
+
+
 def shared_postings(classes: DataFrame) -> DataFrame:
     """(cls, n, posts) with the places and values (pos, tok) of the prefix shingles that two classes may hold; few others slip through."""
     spark, width = classes.sparkSession, 32768
@@ -260,8 +273,7 @@ def verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFram
 
     for side in ("a", "b"):
         pairs = pairs.join(classes.select(F.col("cls").alias(side), F.col("n").alias(f"n{side}"), F.col("mask").alias(f"m{side}")), side)
-    size = F.greatest("na", "nb") * 4 <= F.least("na", "nb") * 5
-    open_ = stage(pairs.where(size & (9 * differing_bits("ma", "mb") <= F.col("na") + F.col("nb"))).select("a", "b"), "likely-pairs")
+    open_ = stage(pairs.where(_likely("na", "nb", "ma", "mb")).select("a", "b"), "likely-pairs")
     if open_.isEmpty():
         unstage(open_)
         return None
@@ -291,6 +303,17 @@ def verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFram
     return links
 
 
+def _paired(open_: DataFrame, *held: str) -> DataFrame:
+    """Pairs x, y of texts that share a shingle and are in different groups; one of them is not in the shingle's largest group. Masks that are held rule pairs out."""
+    x = open_.where("root <> big").select("tok", F.struct("cls", "pos", "root", *held).alias("x"))
+    y = open_.select("tok", "big", F.struct("cls", "pos", "root", *held).alias("y"))
+    apart = (F.col("x.root") != F.col("y.root")) & ((F.col("y.root") == F.col("big")) | (F.col("x.cls") < F.col("y.cls")))
+    open_pair = apart & _room("x", "y")
+    if "mask" in held:
+        open_pair &= _likely("x.n", "y.n", "x.mask", "y.mask")
+    return x.join(y, "tok").where(open_pair).select("x.cls", F.col("y.cls").alias("other"))
+
+
 def links(classes: DataFrame, texts: DataFrame) -> DataFrame:
     """(cls, root) for the classes that have a link: the components of all links between classes."""
     pairs = fingerprint_pairs(classes)
@@ -304,33 +327,35 @@ def links(classes: DataFrame, texts: DataFrame) -> DataFrame:
         if roots is not None:  # classes, not their shingles, meet their roots
             rooted = shared.join(roots.select(F.col("node").alias("cls"), F.col("root").alias("r")), "cls", "left").withColumn("root", F.coalesce("r", "cls"))
         rooted = rooted.select("cls", "n", "root", F.inline("posts"))
-        one = F.struct(F.xxhash64("cls", F.lit(step)).alias("h"), "cls", "n", "pos", "root")
+        turn = [F.lit(step), F.pmod("tok", F.lit(CENTRES))]
+        one = F.struct(F.xxhash64("cls", *turn).alias("h"), "cls", "n", "pos", "root")
         held_by = [F.xxhash64("cls", F.lit(seed)) for seed in ("g", "h")]
-        by_root = rooted.groupBy("tok", "root").agg(F.count("*").alias("c"), F.min(one).alias("one"), *[F.bit_xor(v).alias(k) for k, v in zip("gh", held_by, strict=True)])
-        most = F.max(F.struct("c", "root"))
+        by_root = rooted.groupBy("tok", "root").agg(F.count("*").alias("c"), F.min(one).alias("one"), F.min(F.struct(held_by[0].alias("g"), "pos")).alias("place"), *[F.bit_xor(v).alias(k) for k, v in zip("gh", held_by, strict=True)])
+        most = F.max(F.struct("c", F.xxhash64("root", *turn).alias("h"), "root", "one"))
         tops = by_root.groupBy("tok").agg(
-            F.sum("c").alias("rows"), most["root"].alias("big"), most["c"].alias("big_rows"), F.min("one").alias("one"), F.count("*").alias("groups"),
+            F.sum("c").alias("rows"), most["root"].alias("big"), most["c"].alias("big_rows"), most["one"].alias("one"), F.min("place").alias("place"), F.count("*").alias("groups"),
             F.bit_xor("g").alias("g"), F.bit_xor("h").alias("h"),
         ).where("groups > 1")  # shingles whose texts are not yet in one group
-        first = F.min_by(F.struct("tok", "big", "big_rows", "one"), "one.pos").alias("first")
+        first = F.min_by(F.struct("tok", "big", "big_rows", "one"), "place.pos").alias("first")  # places in the same text
         tops = stage(tops.groupBy("rows", "g", "h").agg(first).select("rows", "first.*"), "shared-tops")
-        total = tops.agg(F.sum("rows").alias("rows"), F.sum(F.expr("(rows - big_rows) * rows")).alias("pairs")).first()
+        pairs_of = F.expr("(rows - big_rows) * rows")
+        total = tops.agg(F.sum("rows").alias("rows"), F.sum(pairs_of).alias("pairs")).first()
         if not total["rows"]:
             unstage(tops)
             break
-        open_ = stage(rooted.join(tops.select("tok", "big", "one"), "tok"), "shared-open")
+        open_ = stage(rooted.join(tops.select("tok", "big", "one", (pairs_of > HOT_PAIRS).alias("hot")), "tok"), "shared-open")
         unstage(held, tops)
         held = open_
-        idle = before is not None and 2 * total["pairs"] > before
+        idle = before is not None and 10 * total["pairs"] > 9 * before
         every = step == STAR_ROUNDS or idle or total["pairs"] <= PAIRS_A_ROW * total["rows"]
         before = total["pairs"]
         if every:
-            x = open_.where("root <> big").select("tok", F.struct("cls", "n", "pos", "root").alias("x"))
-            y = open_.select("tok", "big", F.struct("cls", "n", "pos", "root").alias("y"))
-            tried = x.join(y, "tok").where((F.col("x.root") != F.col("y.root")) & ((F.col("y.root") == F.col("big")) | (F.col("x.cls") < F.col("y.cls"))) & _room("x", "y"))
+            masked = open_.where("hot").join(classes.select("cls", "mask"), "cls")
+            tried = _paired(open_.where("not hot"), "n").union(_paired(masked, "n", "mask"))
         else:
             tried = open_.select(F.struct("cls", "n", "pos", "root").alias("x"), F.col("one").alias("y")).where((F.col("x.root") != F.col("y.root")) & _room("x", "y"))
-        pairs = stage(tried.select(F.least("x.cls", "y.cls").alias("a"), F.greatest("x.cls", "y.cls").alias("b")).distinct(), "shared-pairs")
+            tried = tried.select("x.cls", F.col("y.cls").alias("other"))
+        pairs = stage(tried.select(F.least("cls", "other").alias("a"), F.greatest("cls", "other").alias("b")).distinct(), "shared-pairs")
         found = verified(pairs, classes, texts)
         unstage(pairs)
         if found is not None:

@@ -178,3 +178,18 @@ def test_rounds_end_when_texts_that_share_a_line_are_unlike(spark, monkeypatch):
     sizes = recorded(monkeypatch)
     assert near_text.keep_first(spark.createDataFrame(rows, DOCS)).count() == 60
     assert [name for name, _ in sizes].count("shared-tops") == 2
+
+
+def test_a_dense_group_is_joined_without_trying_all_its_pairs(spark, monkeypatch):
+    """Five places with three words each: two texts are linked if they differ in two places or fewer, all are one group."""
+    rows = []
+    for i in range(3**5):
+        words = [f"v{j}" for j in range(100)]
+        for k in range(5):
+            words[10 + 20 * k] = "abc"[i // 3**k % 3] + str(k)
+        rows.append((i, " ".join(words), "xx", "s"))
+    monkeypatch.setattr(near_text, "fingerprint", lambda text: near_text.xxhash.xxh64_intdigest(text))  # no links from the trees
+    monkeypatch.setattr(near_text, "HOT_PAIRS", 100, raising=False)
+    sizes = recorded(monkeypatch)
+    assert [r["doc_id"] for r in near_text.keep_first(spark.createDataFrame(rows, DOCS)).collect()] == [0]
+    assert max(n for name, n in sizes if name == "shared-pairs") < 3000  # of 29,403
